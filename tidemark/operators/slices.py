@@ -1,0 +1,64 @@
+"""Time slices for hot keys: lets an ordered per-key computation use many tasks for one key.
+
+A window partitioned by a key puts all of the key's rows into one task. Where a key holds more than
+``rows_per_slice`` rows, its time span is cut into equal slices, and windows are partitioned by
+``(key, _slice)``. What a slice needs from its neighbours is a small per-slice summary (see
+:mod:`tidemark.operators.history` and :mod:`tidemark.operators.asof`). Ordinary keys have the one slice 0,
+for which no summary is made. The number of slices changes the parallelism only, never the result.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SLICE = "_slice"
+ROWS_PER_SLICE = 1_000_000
+# At most this many keys are sliced, the largest first, so the broadcast list has a fixed bound.
+# A key beyond it is handled whole, as slice 0, with the same result.
+HOT_KEY_LIMIT = 10_000
+
+
+def ticks(df: DataFrame, at: str) -> Column:
+    """A timestamp as a number that grows with it, whatever the session zone."""
+    if isinstance(df.schema[at].dataType, T.TimestampNTZType):
+        elapsed = F.col(at) - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return elapsed.cast("interval second").cast("decimal(20,6)").cast("double")
+    return F.unix_micros(F.col(at).cast("timestamp")).cast("double")
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], at: str, rows_per_slice: int) -> DataFrame:
+    """Keys above ``rows_per_slice`` rows with their time span and slice count."""
+    tick = ticks(df, at)
+    return (
+        df.groupBy(*keys)
+        .agg(F.count("*").alias("_rows"), F.min(tick).alias("_lo"), F.max(tick).alias("_hi"))
+        .where(F.col("_rows") > rows_per_slice)
+        .orderBy(F.col("_rows").desc(), *keys)
+        .limit(HOT_KEY_LIMIT)
+        .select(*keys, "_lo", "_hi", F.ceil(F.col("_rows") / F.lit(rows_per_slice)).alias("_slices"))
+    )
+
+
+def with_slices(
+    df: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    rows_per_slice: int = ROWS_PER_SLICE,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """Add ``_slice``: 0 for ordinary keys, 1..n in time order for hot ones.
+
+    ``counted`` is a cheaper frame to count from, with at least the rows of ``df`` per key.
+    """
+    hot = F.broadcast(hot_keys(df if counted is None else counted, keys, at, rows_per_slice))
+    span = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1.0))
+    number = F.floor((ticks(df, at) - F.col("_lo")) / span * F.col("_slices")) + F.lit(1)
+    return (
+        df.join(hot, list(keys), "left")
+        .withColumn(SLICE, F.coalesce(F.least(number, F.col("_slices")), F.lit(0)).cast("long"))
+        .drop("_lo", "_hi", "_slices")
+    )
