@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,27 +13,28 @@ def _orderable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Keep the first row per key in ``order``; every other column then breaks ties (F1).
+def keep_first(df: DataFrame, keys: Sequence[str], by: str | Sequence[str], newest: bool = False) -> DataFrame:
+    """Keep one row per key: the lowest (or ``newest``: highest) by ``by``; all other columns break ties (F1).
 
-    With all columns in the order, rows that still tie are equal, so the result does not depend on
+    With every column in the order, rows that still tie are equal, so the result does not depend on
     partitioning. Spark turns ``row_number() = 1`` into a per-task group limit before the shuffle:
     a hot key sends one row per map task, not all of its rows.
     """
-    ties = [F.col(c).asc_nulls_first() for c in _orderable(df) if c not in keys]
+    by = [by] if isinstance(by, str) else list(by)
+    order = [F.col(c).desc_nulls_last() if newest else F.col(c).asc_nulls_first() for c in by]
+    ties = [F.col(c).asc_nulls_first() for c in _orderable(df) if c not in (*keys, *by)]
     window = Window.partitionBy(*keys).orderBy(*order, *ties)
     return df.withColumn("_position", F.row_number().over(window)).where("_position = 1").drop("_position")
 
 
 def latest_state(df: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
     """The newest row per key by the sequence columns, later columns breaking ties of earlier ones."""
-    return keep_first(df, keys, [F.col(c).desc_nulls_last() for c in sequence])
+    return keep_first(df, keys, sequence, newest=True)
 
 
 def by_arrival(df: DataFrame, keys: Sequence[str], keep: str = "first", arrived: str = "_ingested_at") -> DataFrame:
     """The first or last arrival per key (S3)."""
-    column = F.col(arrived)
-    return keep_first(df, keys, [column.asc_nulls_first() if keep == "first" else column.desc_nulls_last()])
+    return keep_first(df, keys, arrived, newest=keep == "last")
 
 
 def latest_values(df: DataFrame, keys: Sequence[str], values: Sequence[str], sequence: Sequence[str]) -> DataFrame:

@@ -6,6 +6,8 @@ A rule is a SQL boolean text. A row fails a rule unless it evaluates to true, so
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.conform import LINEAGE
 
 FAILED = "_failed_rules"
+PASSES = "_passes"
+ONCE = "_once"
 
 
 def one_of(column: str, values: Iterable[str]) -> str:
@@ -21,27 +25,36 @@ def one_of(column: str, values: Iterable[str]) -> str:
     return f"{column} IN ({quoted})"
 
 
+def passes(rules: Mapping[str, str]) -> Column:
+    """True where every rule holds, false otherwise."""
+    return reduce(and_, [F.coalesce(F.expr(text), F.lit(False)) for text in rules.values()], F.lit(True))
+
+
 def failed_rules(rules: Mapping[str, str]) -> Column:
-    """Array of the names of the rules a row fails."""
-    checks = [F.when(~F.coalesce(F.expr(text), F.lit(False)), F.lit(name)) for name, text in rules.items()]
-    return F.array_compact(F.array(*checks))
+    """Array of the names of the rules a row fails (C2), in declared order."""
+    names = [F.when(F.expr(text), F.lit("")).otherwise(F.lit(name)) for name, text in rules.items()]
+    return F.array_remove(F.array(*names), "")
 
 
 def check(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
-    """Add the failed-rule array; split with :func:`accepted` and :func:`quarantined`."""
-    return df.withColumn(FAILED, failed_rules(rules))
+    """Add the failed-rule array and the verdict; split with :func:`accepted` and :func:`quarantined`.
+
+    ``_once`` is always at least 0. Being random, it keeps Spark from moving the verdict's filter below the
+    projection that parses the columns, where every rule would parse them again (4 times slower on text feeds).
+    """
+    return df.withColumns({FAILED: failed_rules(rules), PASSES: passes(rules), ONCE: F.rand(0)})
 
 
 def accepted(checked: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Rows that pass every rule (C3, C8), without the helper columns."""
-    return checked.where(F.size(FAILED) == 0).drop(FAILED, "_raw", *extra)
+    return checked.where(F.col(PASSES) & (F.col(ONCE) >= 0)).drop(FAILED, PASSES, ONCE, "_raw", *extra)
 
 
 def quarantined(checked: DataFrame) -> DataFrame:
     """Rows that fail a rule: raw values, reasons, lineage and a time, in one fixed schema."""
     kept = ["_raw", FAILED, *LINEAGE]
     return (
-        checked.where(F.size(FAILED) > 0)
+        checked.where(~F.col(PASSES) & (F.col(ONCE) >= 0))
         .select(*[F.col(c) for c in kept if c in checked.columns])
         .withColumn("_quarantined_at", F.current_timestamp())
     )
