@@ -182,6 +182,41 @@ STATEMENTS = {
         city, state, segment, is_deleted, {_ts('effective_from')}, email AS full_email FROM dim_customer""",
 }
 
+_RUN = " UNION ALL ".join(
+    f"""SELECT 'silver_{e}' AS table_name, count(*) AS rows_in, (SELECT count(*) FROM {kept}) AS rows_out,
+        count(*) FILTER (failed <> '') AS rows_quarantined,
+        count(*) FILTER (failed = '') - (SELECT count(*) FROM {kept}) AS rows_merged FROM checked_{e}"""
+    for e, kept in {
+        "customers": "customers",
+        "products": "products",
+        "orders": "silver_orders",
+        "order_items": "silver_order_items",
+        "payments": "silver_payments",
+        "clickstream": "silver_clickstream",
+        "inventory": "silver_inventory",
+    }.items()
+)
+
+STATEMENTS |= {
+    # a CSV field without text is read as NULL
+    "ingest_once": """SELECT order_id, order_item_id, product_id, quantity, nullif(unit_price, '') AS unit_price, freight_value,
+        CASE WHEN _batch_id > 4 THEN 'web' END AS channel, CAST(CASE WHEN _batch_id > 4 THEN 2 ELSE 1 END AS BIGINT) AS _batch_id
+        FROM raw_order_items""",
+    "ingest_log": "SELECT CAST(1 AS BIGINT) AS _batch_id, count(*) AS rows, TRUE AS timed FROM raw_products",
+    "read_files": """SELECT product_id, warehouse_code, count(*) AS pairs, max(qty_on_hand) AS most, max(list_price) AS price
+        FROM raw_inventory JOIN raw_products USING (product_id) GROUP BY ALL""",
+    "stream_scd2": STATEMENTS["scd2_customers"],
+    "stream_scd1": STATEMENTS["dedupe_latest_orders"],
+    "stream_first": """SELECT order_id, lines, coalesce(quarantined, 0) AS quarantined
+        FROM (SELECT order_id, count(*) AS lines FROM silver_order_items GROUP BY order_id)
+        LEFT JOIN (SELECT order_id, count(*) AS quarantined FROM checked_order_items WHERE failed <> '' GROUP BY order_id) USING (order_id)""",
+    "stream_dedupe": STATEMENTS["dedupe_first_clicks"],
+    "stream_run": _RUN,
+    "envelope_decode": """SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS session_id, event_type,
+        'clicks:' || (user_id % 4) || ':' || event_id AS _source_file FROM events""",
+    "clustered_layout": STATEMENTS["serve_events_by_type"],
+}
+
 
 def oracle_statements() -> dict[str, str]:
     return {name: with_layers(text) for name, text in STATEMENTS.items()}

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# How a timestamp and a date key are written as text.
-TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-DATE_KEY_PATTERN = "yyyyMMdd"
-
-
 def timestamp_text(column: str | Column) -> Column:
-    """A timestamp as text in one fixed format, so keys do not depend on the session zone."""
-    return F.date_format(column, TIMESTAMP_PATTERN)
+    """A timestamp as ``2026-09-01 08:30:00.000000``.
+
+    Made from the plain cast, which for zone-free timestamps does not depend on the session zone (S9).
+    """
+    text = (F.col(column) if isinstance(column, str) else column).cast("string")
+    return F.rpad(F.concat(text, F.when(F.contains(text, F.lit(".")), "").otherwise(".")), 26, "0")
 
 
 def surrogate_key(*parts: str | Column) -> Column:
@@ -26,8 +25,8 @@ def surrogate_key(*parts: str | Column) -> Column:
 
 
 def date_key(column: str | Column) -> Column:
-    """The day as an integer such as 20260901."""
-    return F.date_format(column, DATE_KEY_PATTERN).cast("int")
+    """The day as an integer such as 20260901; calendar arithmetic is cheaper than formatting and parsing."""
+    return F.year(column) * 10000 + F.month(column) * 100 + F.dayofmonth(column)
 
 
 def key_bucket(keys: list[str], buckets: int) -> Column:

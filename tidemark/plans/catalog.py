@@ -18,6 +18,7 @@ from tidemark.operators.rules import rule_failure_counts
 from tidemark.plans import gate, reports, star
 from tidemark.plans.lake import Lake
 from tidemark.plans.retail import BY_NAME, ENTITIES
+from tidemark.plans.streamed import STREAMED
 
 Query = Callable[[SparkSession, str], DataFrame]
 NOW = "2001-08-05 12:00:00"  # the reports that depend on the present time get it passed in
@@ -309,4 +310,5 @@ QUERIES: dict[str, Query] = {
     "serve_load_age": _on_lake(serve_load_age),
     "serve_events_by_type": _on_lake(serve_events_by_type),
     "mask_emails": _on_lake(mask_emails),
+    **{name: _on_lake(build) for name, build in STREAMED.items()},
 }

@@ -12,7 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.dedupe import duplicate_keys
 from tidemark.plans.retail import FRESHNESS_HOURS, MISMATCH_RATE_LIMIT, QUARANTINE_RATE_LIMIT, UNKNOWN_MEMBER_LIMIT
 
 
@@ -67,22 +66,37 @@ def reconciliation_rate(recon: DataFrame) -> DataFrame:
     return _rate_check("revenue_reconciliation", counted, MISMATCH_RATE_LIMIT, "orders unexplained")
 
 
-def unique_grain(table: str, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """No key occurs twice."""
-    return _count_check(f"{table}.unique_grain", duplicate_keys(rows, keys), "duplicate keys")
-
-
 def one_current_version(table: str, dim: DataFrame, key: str) -> DataFrame:
     """Exactly one current version per key, counted over all keys: having none fails as well."""
     current = dim.groupBy(key).agg(F.count_if("is_current").alias("current_rows")).where("current_rows != 1")
     return _count_check(f"{table}.one_current_version", current, "keys with != 1 current row")
 
 
-def unknown_members(fact: DataFrame) -> DataFrame:
-    """Fact rows without a known dimension member (C14)."""
+def fact_checks(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """No duplicate grain (C12) and few rows without a known dimension member (C14), in one pass over the fact."""
     unknown = F.count_if((F.col("customer_sk") == "-1") | (F.col("product_sk") == "-1"))
-    counted = fact.agg(F.count("*").alias("total"), unknown.alias("bad"))
-    return _rate_check("fact_order_items.unknown_members", counted, UNKNOWN_MEMBER_LIMIT, "rows")
+    per_line = fact.groupBy(*keys).agg(F.count("*").alias("rows"), unknown.alias("unknown"))
+    counted = per_line.agg(
+        F.count_if(F.col("rows") > 1).alias("duplicates"),
+        F.coalesce(F.sum("unknown"), F.lit(0)).alias("bad"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total"),
+    )
+    rate = F.when(F.col("total") > 0, F.col("bad") / F.col("total")).otherwise(F.lit(0.0))
+    grain = _row(
+        "fact_order_items.unique_grain",
+        F.col("duplicates"),
+        0,
+        F.col("duplicates") == 0,
+        F.concat(F.col("duplicates"), F.lit(" duplicate keys")),
+    )
+    members = _row(
+        "fact_order_items.unknown_members",
+        F.round(rate, 4),
+        UNKNOWN_MEMBER_LIMIT,
+        rate <= UNKNOWN_MEMBER_LIMIT,
+        F.concat(F.col("bad"), F.lit("/"), F.col("total"), F.lit(" rows")),
+    )
+    return counted.select(F.inline(F.array(F.struct(*grain), F.struct(*members))))
 
 
 def freshness(source: str, bronze: DataFrame, now: Column, limit: float = FRESHNESS_HOURS) -> DataFrame:
@@ -112,9 +126,8 @@ def gate(
     """All checks, one row each: seven sources, reconciliation, grain, two dimensions, unknown members, freshness."""
     checks = [quarantine_rate(source, rows, quarantines.get(source)) for source, rows in bronze.items()]
     checks.append(reconciliation_rate(recon))
-    checks.append(unique_grain("fact_order_items", fact, ["order_id", "order_item_id"]))
+    checks.append(fact_checks(fact, ["order_id", "order_item_id"]))
     checks += [one_current_version(name, dim, key) for name, (dim, key) in dims.items()]
-    checks.append(unknown_members(fact))
     if fresh_source in bronze:
         checks.append(freshness(fresh_source.removesuffix("_cdc"), bronze[fresh_source], now, max_age_hours))
     else:
