@@ -62,6 +62,7 @@ class Entity:
     merge: Merge
     reference: Reference | None = None
     dated: tuple[str, str] | None = None
+    sorted_by: tuple[str, ...] = ()
     checks: dict[str, str] = field(init=False)
 
     def __post_init__(self) -> None:
@@ -207,6 +208,7 @@ CLICKSTREAM = Entity(
     },
     merge=Merge("first", ("event_id",)),
     dated=("event_ts", "event_date"),
+    sorted_by=("event_date", "event_type"),
 )
 
 INVENTORY = Entity(

@@ -109,9 +109,12 @@ class Tables:
         writer = observed.write.mode("overwrite")
         if split_by:
             writer = writer.partitionBy(*split_by)
-        writer.parquet(f"{self.path(name)}/{BATCH}={batch_id}")
+        writer.parquet(self._load(name, batch_id))
         return rows()
 
+    def _load(self, name: str, batch_id: int) -> str:
+        return f"{self.path(name)}/{BATCH}={batch_id}"
+
     def batches(self, name: str, after: int = 0) -> list[int]:
         """Loads of a table later than ``after`` (A16): partition values only, a short list."""
         found = self.find(name)
@@ -153,13 +156,16 @@ class Tables:
         business = [T.StructField(c, T.StringType()) for c in self.bronze_columns(feed)]
         return T.StructType([*business, *BRONZE_LINEAGE])
 
-    def bronze(self, feed: str) -> DataFrame:
-        """A bronze table in its widest schema.
+    def bronze(self, feed: str, batch_id: int | None = None) -> DataFrame:
+        """A bronze table in its widest schema (A7), or one load of it.
 
         The recorded columns are the schema: nothing is rewritten when a column appears, and no file footers are
-        merged at read time. Filters on ``_batch_id`` prune folders.
+        merged at read time. A single load is read by its folder, without listing the others.
         """
-        return self.spark.read.schema(self.bronze_schema(feed)).parquet(self.path(f"bronze_{feed}"))
+        name = f"bronze_{feed}"
+        folder = self.path(name) if batch_id is None else self._load(name, batch_id)
+        reader = self.spark.read.schema(self.bronze_schema(feed)).option("basePath", self.path(name))
+        return reader.parquet(folder)
 
     def bronze_stream(self, feed: str) -> DataFrame:
         """The bronze table as a stream of its loads."""
@@ -179,13 +185,20 @@ class Tables:
 
     def touched_buckets(self, name: str, batch_id: int) -> list[int]:
         """Buckets with rows of a load: folder names only, at most as many as there are buckets."""
-        rows = self.read(name).where(F.col(BATCH) == batch_id).select(BUCKET).distinct().collect()
-        return sorted(r[0] for r in rows)
+        load = self.spark.read.parquet(self._load(name, batch_id))
+        return sorted(r[0] for r in load.select(BUCKET).distinct().collect())
 
-    def publish(self, df: DataFrame, name: str, keys: Sequence[str]) -> int:
-        """Replace the key buckets that ``df`` holds, whole, and leave the others alone."""
+    def publish(self, df: DataFrame, name: str, keys: Sequence[str], within: Sequence[str] = ()) -> int:
+        """Replace the key buckets that ``df`` holds, whole, and leave the others alone.
+
+        An oversized bucket is spread over tasks and files. ``within`` sorts the rows of each file, so that
+        filters on these columns skip row groups (A19).
+        """
         observed, rows = counted(self.with_bucket(df, keys))
-        writer = observed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET)
+        laid_out = observed.hint("rebalance", BUCKET)
+        if within:
+            laid_out = laid_out.sortWithinPartitions(BUCKET, *within)
+        writer = laid_out.write.mode("overwrite").partitionBy(BUCKET)
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
         return rows()
 

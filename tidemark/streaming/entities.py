@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.rules import quarantined
 from tidemark.plans import silver
 from tidemark.plans.retail import Entity
-from tidemark.sources.tables import BATCH, BUCKET, Tables
+from tidemark.sources.tables import BUCKET, Tables
 from tidemark.streaming.ingest import start_ingest
 
 
@@ -33,7 +33,7 @@ def process_batch(tables: Tables, entity: Entity, batch_id: int) -> dict:
     Running it again for the same load leaves the same tables.
     """
     table = table_name(entity)
-    raw = tables.bronze(entity.feed).where(F.col(BATCH) == batch_id)
+    raw = tables.bronze(entity.feed, batch_id)
     rows = silver.checked(entity, raw, _master(tables, entity)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rejected = tables.write_batch(quarantined(rows), f"{table}_quarantine", batch_id)
@@ -58,7 +58,7 @@ def publish(tables: Tables, entity: Entity, batch_id: int) -> int:
     table = table_name(entity)
     touched = tables.touched_buckets(f"{table}_log", batch_id)
     log = tables.log(f"{table}_log").where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-    return tables.publish(silver.merged(entity, log), table, entity.merge.keys)
+    return tables.publish(silver.merged(entity, log), table, entity.merge.keys, within=entity.sorted_by)
 
 
 def catch_up(tables: Tables, entity: Entity) -> list[dict]:
