@@ -6,8 +6,6 @@ A rule is a SQL boolean text. A row fails a rule unless it evaluates to true, so
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,21 +17,25 @@ PASSES = "_passes"
 ONCE = "_once"
 
 
+def quoted(value: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def one_of(column: str, values: Iterable[str]) -> str:
     """SQL text of ``column IN (...)`` with the values quoted."""
-    quoted = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
-    return f"{column} IN ({quoted})"
+    return f"{column} IN ({', '.join(map(quoted, values))})"
 
 
 def passes(rules: Mapping[str, str]) -> Column:
     """True where every rule holds, false otherwise."""
-    return reduce(and_, [F.coalesce(F.expr(text), F.lit(False)) for text in rules.values()], F.lit(True))
+    return F.expr(" AND ".join(f"coalesce(({text}), false)" for text in rules.values()) or "true")
 
 
 def failed_rules(rules: Mapping[str, str]) -> Column:
     """Array of the names of the rules a row fails (C2), in declared order."""
-    names = [F.when(F.expr(text), F.lit("")).otherwise(F.lit(name)) for name, text in rules.items()]
-    return F.array_remove(F.array(*names), "")
+    names = ["''", *(f"CASE WHEN ({text}) THEN '' ELSE {quoted(name)} END" for name, text in rules.items())]
+    return F.expr(f"array_remove(array({', '.join(names)}), '')")
 
 
 def check(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
