@@ -309,3 +309,41 @@ def test_gold_of_nothing_is_empty_and_the_gate_says_so(spark, tables, tmp_path):
     assert results["freshness_hours.orders"] is False and results["fact_order_items.unique_grain"] is True
     assert set(BY_NAME) == {"customers", "products", "orders", "order_items", "payments", "clickstream", "inventory"}
     assert day(2) > day(1)
+
+
+def gold_rows(tables):
+    fact = rows(tables.read("gold_fact_order_items").drop("fact_month"))
+    return fact, rows(tables.read("gold_agg_daily_sales").drop("fact_month")), rows(tables.read("gold_agg_daily_totals").drop("fact_month"))
+
+
+def test_gold_of_touched_months_equals_a_full_build(spark, tables, tmp_path):
+    landing = tmp_path / "landing"
+    land_first_batch(landing)
+    order = {"customer_id": "C1", "op": "U", "status": "created"}
+    for n, month in enumerate(("06", "07", "08", "10"), start=3):
+        at = f"2026-{month}-15 00:00:00"
+        put_json(landing / "orders_cdc", f"m{n}.json", {**order, "order_id": f"O{n}", "order_purchase_ts": at, "change_ts": at, "lsn": 1})
+        put(landing / "order_items", f"m{n}.csv", HEADERS["order_items"] + f"O{n},1,P1,1,5.00,0\n")
+    run_once(tables, str(landing))
+    assert gold.touched_months(tables) == []
+    before = gold_rows(tables)
+
+    # O3 moves from June to July: June ends up empty. P1 gets a late version from 1 October on.
+    put_json(landing / "orders_cdc", "x.json", {**order, "order_id": "O3", "order_purchase_ts": "2026-07-20 00:00:00", "change_ts": "2026-09-20", "lsn": 2})
+    put_json(landing / "products_cdc", "x.json", {"product_name": "Ring", "category": "Gifts", "supplier_id": "S1", "product_id": "P1", "list_price": "7", "op": "U", "change_ts": "2026-10-01", "lsn": 3})
+    real, seen = gold.touched_months, []
+
+    def spy(t):
+        seen.append(real(t))
+        return seen[-1]
+
+    gold.touched_months = spy
+    try:
+        run_once(tables, str(landing))
+    finally:
+        gold.touched_months = real
+    assert seen == [[202606, 202607, 202610]]
+    after = gold_rows(tables)
+    assert after != before and tables.read("gold_fact_order_items").where("fact_month = 202606").count() == 0
+    gold.build_gold(tables, full=True)
+    assert gold_rows(tables) == after
