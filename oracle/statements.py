@@ -137,7 +137,9 @@ STATEMENTS = {
     "fact_order_items": f"""SELECT order_id, order_item_id, date_key, customer_sk, product_sk, customer_id, product_id,
         {_ts('order_purchase_ts')}, order_status, quantity, {_d('unit_price', 'freight_value', 'item_revenue', 'line_total')} FROM fact_items""",
     "fact_lines_checked": "SELECT order_id, count(*) AS lines, CAST(sum(line_total) AS DOUBLE) AS total FROM fact_items GROUP BY order_id",
-    "lost_lines": "SELECT count(*) AS lines_without_order FROM silver_order_items WHERE order_id NOT IN (SELECT order_id FROM silver_orders)",
+    "fact_losses": """SELECT (SELECT count(*) FROM silver_order_items WHERE order_id NOT IN (SELECT order_id FROM silver_orders))
+          AS lines_without_order,
+        (SELECT count(*) FROM fact_items WHERE quantity * unit_price + freight_value > 9999999999.99) AS overflowed_amounts""",
     "fact_order_payments": f"SELECT order_id, {_d('amount_paid')}, payment_count, used_voucher, max_installments FROM fact_payments",
     "fanout_overstatement": """SELECT (SELECT CAST(sum(line_total) AS DOUBLE) FROM fact_items
           WHERE order_id IN (SELECT order_id FROM silver_payments)) AS correct_revenue,

@@ -187,9 +187,9 @@ def duplicate_lines(lake: Lake) -> DataFrame:
     return duplicate_keys(lake.source("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-def lost_lines(lake: Lake) -> DataFrame:
-    """Lines the fact leaves out because no order was accepted."""
-    return star.lines_without_order(lake.kept("order_items"), lake.kept("orders"))
+def fact_losses(lake: Lake) -> DataFrame:
+    """What the fact leaves out."""
+    return star.fact_losses(lake.kept("order_items"), lake.kept("orders"), lake.fact_items)
 
 
 def fact_lines_checked(lake: Lake) -> DataFrame:
@@ -282,7 +282,7 @@ QUERIES: dict[str, Query] = {
     "asof_sweep": _on_lake(asof_sweep),
     "fact_order_items": _on_lake(lambda lake: lake.fact_items),
     "fact_lines_checked": _on_lake(fact_lines_checked),
-    "lost_lines": _on_lake(lost_lines),
+    "fact_losses": _on_lake(fact_losses),
     "fact_order_payments": _on_lake(lambda lake: lake.fact_payments),
     "fanout_overstatement": _on_lake(
         lambda lake: reports.fanout_overstatement(lake.fact_items, lake.kept("payments"), lake.fact_payments)
