@@ -77,7 +77,7 @@ def test_a_feed_without_folder_is_skipped(spark, tables, tmp_path):
 
 def test_a_replayed_load_replaces_itself(spark, tables, tmp_path):
     file = put(tmp_path / "f", "a.csv", "order_id,order_item_id,product_id,quantity,unit_price,freight_value\nO1,1,P1,1,5.00,0\nO2,1,P1,1,N/A,0\n")
-    tables.write(spark.createDataFrame([("P1",)], "product_id string"), "silver_products")
+    tables.write(spark.createDataFrame([("P1",)], "product_id string"), "silver_products_log")
     for _ in range(2):
         ingest_files(tables, "order_items", "csv", [file], 1)
         done = entities.process_batch(tables, ORDER_ITEMS, 1)

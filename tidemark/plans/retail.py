@@ -74,6 +74,9 @@ def _change_columns() -> tuple[Field, ...]:
     return (Field("op", case="upper"), Field("change_ts", MOMENT), Field("lsn", "bigint"))
 
 
+# The feeds' contract. Column names and types, rule names and rule texts, keys and tracked columns
+# of the seven feeds below; results depend on each of them.
+
 CUSTOMERS = Entity(
     name="customers",
     feed="customers_cdc",

@@ -19,11 +19,14 @@ def table_name(entity: Entity) -> str:
 
 
 def _master(tables: Tables, entity: Entity) -> DataFrame | None:
-    """The master's keys as they stand when the load runs."""
+    """The master's accepted keys as they stand when the load runs.
+
+    They come from the accepted log, to which loads are only added: the master's table may be rewritten meanwhile.
+    """
     if entity.reference is None:
         return None
     key = entity.reference.key
-    found = tables.find(f"silver_{entity.reference.master}")
+    found = tables.find(f"silver_{entity.reference.master}_log")
     return tables.spark.createDataFrame([], f"{key} string") if found is None else found.select(key)
 
 
