@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bytebpe, exact, mixing, urls
+from tidemark.llm import bytebpe, exact, minhash, mixing, urls
 from tidemark.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"))
 
 
+def op5_minhash_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_groups(table(spark, folder, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bytebpe.encode_digests(table(spark, folder, "documents"))
 
@@ -26,6 +30,7 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_url_filter": op3_url_filter,
+    "op5_minhash_forest": op5_minhash_forest,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
@@ -60,6 +65,21 @@ SELECT d.doc_id, d.size, CAST(t.s AS BIGINT) AS source_size, t.target,
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN e ON d.source IS NOT DISTINCT FROM e.source"""
 
 
+_NEAR = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM t),
+n AS (SELECT t.doc_id, count(s.g) AS n FROM t LEFT JOIN s USING (doc_id) GROUP BY t.doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 75 * (a.n + b.n - k)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS root FROM n UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.root)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r.root) AS component_id, n.doc_id = min(r.root) AS kept
+FROM n JOIN r USING (doc_id) GROUP BY n.doc_id, n.n"""
+
+
 def _url_sql() -> str:
     host = r"translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     path = r"regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1)"
@@ -79,4 +99,4 @@ def _url_sql() -> str:
       SELECT page_id, {host} AS host, {path} AS path, CAST({strict} AS INTEGER) AS strict_hits, CAST({soft} AS INTEGER) AS soft_weight FROM pages))"""
 
 
-STATEMENTS = {"op3_url_filter": _url_sql(), "op9_mixing": _MIX, "op10_exact_dedup": _EXACT}
+STATEMENTS = {"op3_url_filter": _url_sql(), "op5_minhash_forest": _NEAR, "op9_mixing": _MIX, "op10_exact_dedup": _EXACT}
