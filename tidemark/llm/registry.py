@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bytebpe, exact, minhash, mixing, urls
+from tidemark.llm import bytebpe, exact, minhash, mixing, urls, warc
 from tidemark.llm.common import table
 
 
+def op2_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived_pages(table(spark, folder, "pages"))
+
+
 def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"))
 
@@ -29,6 +33,7 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_warc_transactions": op2_warc_transactions,
     "op3_url_filter": op3_url_filter,
     "op5_minhash_forest": op5_minhash_forest,
     "op7_byte_bpe": op7_byte_bpe,
@@ -36,6 +41,19 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
 }
 
+_BASE32 = "".join(
+    f" || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, {5 * g + 1}, 5) AS BIGINT) >> {s}) & 31), 1)"
+    for g in range(8)
+    for s in (15, 10, 5, 0)
+)
+
+_WARC = f"""
+WITH p AS (SELECT page_id, url, sha1(coalesce(html, '')) AS h, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS stands FROM p)
+SELECT page_id, payload_bytes, '' {_BASE32} AS payload_digest, coalesce(url, '') AS target_uri,
+       CASE WHEN page_id < stands THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id < stands THEN stands END AS refers_to
+FROM q"""
+
 _HEX = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')"
 
 _EXACT = f"""
@@ -99,4 +117,4 @@ def _url_sql() -> str:
       SELECT page_id, {host} AS host, {path} AS path, CAST({strict} AS INTEGER) AS strict_hits, CAST({soft} AS INTEGER) AS soft_weight FROM pages))"""
 
 
-STATEMENTS = {"op3_url_filter": _url_sql(), "op5_minhash_forest": _NEAR, "op9_mixing": _MIX, "op10_exact_dedup": _EXACT}
+STATEMENTS = {"op2_warc_transactions": _WARC, "op3_url_filter": _url_sql(), "op5_minhash_forest": _NEAR, "op9_mixing": _MIX, "op10_exact_dedup": _EXACT}
