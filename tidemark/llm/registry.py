@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bytebpe, exact, minhash, mixing, urls, warc
+from tidemark.llm import bytebpe, exact, forest, hmm, minhash, mixing, quality, urls, warc
 from tidemark.llm.common import table
 
 
+def op1_hash_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return forest.nearest(table(spark, folder, "embeddings"))
+
+
 def op2_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived_pages(table(spark, folder, "pages"))
 
@@ -16,10 +20,18 @@ def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"))
 
 
+def op4_weak_label_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"))
+
+
 def op5_minhash_forest(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_groups(table(spark, folder, "documents"))
 
 
+def op6_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
+    return hmm.score(table(spark, folder, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bytebpe.encode_digests(table(spark, folder, "documents"))
 
@@ -33,9 +45,12 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_hash_prefix_forest": op1_hash_prefix_forest,
     "op2_warc_transactions": op2_warc_transactions,
     "op3_url_filter": op3_url_filter,
+    "op4_weak_label_quality": op4_weak_label_quality,
     "op5_minhash_forest": op5_minhash_forest,
+    "op6_hidden_markov": op6_hidden_markov,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
