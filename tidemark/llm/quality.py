@@ -95,7 +95,7 @@ def signals(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             np.where(n >= 20, top / per_word, 0),
             np.diff(lone) / per_word,
             count(_CALL) / per_word,
-            np.where(n >= 50, 1 - count(_STOP) / per_word, 0.985),
+            np.where(n >= 50, 1 - count(_STOP) / per_word, 0),
             1 / (1 + n),
             np.diff(echo) / per_word,
             np.diff(tails) / per_word,
