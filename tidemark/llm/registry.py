@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bytebpe, exact, forest, hmm, minhash, mixing, quality, urls, warc
+from tidemark.llm import bytebpe, exact, forest, hmm, minhash, mixing, pii, quality, urls, warc
 from tidemark.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bytebpe.encode_digests(table(spark, folder, "documents"))
 
 
+def op8_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op5_minhash_forest": op5_minhash_forest,
     "op6_hidden_markov": op6_hidden_markov,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_contextual_pii": op8_contextual_pii,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
 }
