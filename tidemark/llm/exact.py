@@ -66,5 +66,5 @@ def exact_groups(docs: DataFrame, heads: int = HEADS, tracked: int = TRACKED) ->
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay; dropped ids are joined away, so only ids and never texts are grouped."""
-    dropped = exact_groups(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped_id"))
-    return docs.join(dropped, docs["doc_id"] == F.col("_dropped_id"), "left_anti")
+    dropped = exact_groups(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("dropped_id"))
+    return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")

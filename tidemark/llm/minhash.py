@@ -269,5 +269,5 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each component stays; dropped ids are joined away."""
-    dropped = near_groups(docs).filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_dropped_id"))
-    return docs.join(dropped, docs["doc_id"] == F.col("_dropped_id"), "left_anti")
+    dropped = near_groups(docs).filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("dropped_id"))
+    return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")

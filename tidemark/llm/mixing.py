@@ -119,9 +119,8 @@ def mixed(docs: DataFrame) -> DataFrame:
     where Spark finds the small threshold table fit to broadcast, and else its skew handling splits a hot source."""
     rows = stored(sized(docs), "sizes")
     _, cuts = _decided(rows)
-    cuts = cuts.select(F.col("of").alias("_of"), F.col("copies").alias("_copies"), F.col("below").alias("_below"))
-    again = F.col("_copies") + F.when(hash60() < F.col("_below"), 1).otherwise(0)
-    kept = docs.join(cuts, docs["source"].eqNullSafe(F.col("_of"))).withColumn("_again", again.cast("int"))
+    again = cuts["copies"] + F.when(hash60() < cuts["below"], 1).otherwise(0)
     has_words = F.regexp_like(text_or_empty(), F.lit(WORD))
-    columns = [docs[c] for c in docs.columns]
-    return kept.filter((F.col("_again") > 0) & has_words).select(*columns, F.explode(F.sequence(F.lit(1), F.col("_again"))).alias("_n")).drop("_n")
+    joined = docs.join(cuts, docs["source"].eqNullSafe(cuts["of"]))
+    row = F.struct(*(docs[c] for c in docs.columns))
+    return joined.select(F.explode(F.array_repeat(row, F.when(has_words, again).otherwise(0).cast("int"))).alias("row")).select("row.*")
