@@ -62,12 +62,15 @@ def signals(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size, n = np.diff(bounds), np.diff(word_bounds)
     full = np.flatnonzero(size > 0)
 
-    def count(table: np.ndarray) -> np.ndarray:
+    def total(marks: np.ndarray) -> np.ndarray:
         out = np.zeros(len(size))
         if len(full):
-            out[full] = np.add.reduceat(table[data], bounds[:-1][full], dtype=np.int64)
+            out[full] = np.add.reduceat(marks, bounds[:-1][full], dtype=np.int64)
         return out
 
+    def count(table: np.ndarray) -> np.ndarray:
+        return total(table[data])
+
     letters, upper = count(_LETTER), count(_UPPER)
     lone = np.concatenate([[0], np.cumsum(np.isin(words, _LONE))])[word_bounds]
     same = np.zeros(len(words), bool)
@@ -77,7 +80,7 @@ def signals(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     last = np.ones(len(data), bool)
     last[:-1] = IS_SPACE[data[1:]]
     last[bounds[1:][full] - 1] = True
-    tails = np.concatenate([[0], np.cumsum(last & (_SIGN | _CALL).astype(bool)[data])])[bounds]
+    tails = total((_SIGN | _CALL)[data] * last)
     with np.errstate(over="ignore"):
         joined = words[:-1] * U64(0x9E3779B97F4A7C15) + words[1:]
     top, distinct, pairs = np.zeros(len(n)), np.zeros(len(n)), np.zeros(len(n))
@@ -98,7 +101,7 @@ def signals(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             np.where(n >= 50, 1 - count(_STOP) / per_word, 0),
             1 / (1 + n),
             np.diff(echo) / per_word,
-            np.diff(tails) / per_word,
+            tails / per_word,
             np.where(n >= 20, 1 - pairs / np.maximum(n - 1, 1), 0),
             1 - distinct / per_word,
             size / per_word / 40,
@@ -208,7 +211,8 @@ def scored(model: Model, text: Column) -> Column:
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series(model.scores(pa.array(texts, pa.string())))
+            batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+            yield pd.Series(np.concatenate([model.scores(part.column("text")) for part in slices(iter([batch]), "text")] or [np.zeros(0)]))
 
     return run(text)
 
