@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +41,8 @@ SIGNALS = tuple(name for name, _, _ in LABELLERS) + ("variety", "word_length", "
 #: Hashed weights, levels per signal, learning rate and ridge of the scorer, length of a text's word part.
 WEIGHTS, LEVELS, RATE, RIDGE, WORDS = 1 << 13, 12, 0.5, 1e-4, 0.3
 EM_ROUNDS = 100
+#: Text that a task looks at in one go.
+BYTES = 4 << 20
 #: Documents whose pattern is judged good or bad with this certainty teach the scorer.
 CERTAIN = 0.9
 
@@ -172,7 +173,7 @@ def fit(docs: DataFrame) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << N_LABELLERS, np.int64)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", BYTES):
             total += np.bincount(pattern(votes(signals(batch.column("text"))[0])), minlength=len(total))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["pattern", "n"])
@@ -183,7 +184,7 @@ def fit(docs: DataFrame) -> Model:
 
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, steep, learnt = np.zeros(WEIGHTS), np.full(WEIGHTS, 1e-8), 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", BYTES):
             shares, words, bounds = signals(batch.column("text"))
             truth = [posterior[p] for p in pattern(votes(shares)).tolist()]
             for good, (at, value) in zip(truth, _features(shares, words, bounds), strict=True):
@@ -208,11 +209,12 @@ def fit(docs: DataFrame) -> Model:
 def scored(model: Model, text: Column) -> Column:
     """The log-odds that a text is good."""
 
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
-            yield pd.Series(np.concatenate([model.scores(part.column("text")) for part in slices(iter([batch]), "text")] or [np.zeros(0)]))
+            whole = iter([pa.RecordBatch.from_arrays([texts], names=["text"])])
+            parts = [model.scores(part.column("text")) for part in slices(whole, "text", BYTES)]
+            yield pa.array(np.concatenate(parts or [np.zeros(0)]))
 
     return run(text)
 
