@@ -46,6 +46,17 @@ _EVENT_ASOF = f"""
   FROM (SELECT event_id, user_id, ts - INTERVAL 30 MINUTE AS probed_at FROM events) p
   ASOF LEFT JOIN ({_EVENT_CHAIN}) v ON p.user_id = v.user_id AND p.probed_at >= v.effective_from"""
 
+_BURSTS = """
+  SELECT * EXCLUDE (ts), CASE WHEN event_id % 10 = 0 THEN ts ELSE TIMESTAMP '2024-01-15' + (ts - date_trunc('day', ts)) END AS ts FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id, CASE WHEN event_id % 10 = 0 THEN ts ELSE TIMESTAMP '2024-01-15' + (ts - date_trunc('day', ts)) END
+                             ORDER BY event_id DESC) = 1"""
+_BURST_CHAIN = _EVENT_CHAIN.replace("FROM events", f"FROM ({_BURSTS})")
+_BURST_ASOF = _EVENT_ASOF.replace(_EVENT_CHAIN, _BURST_CHAIN).replace(
+    "(SELECT event_id, user_id, ts - INTERVAL 30 MINUTE AS probed_at FROM events)",
+    "(SELECT event_id, user_id, CASE WHEN event_id % 10 = 0 THEN ts ELSE TIMESTAMP '2024-01-15' + (ts - date_trunc('day', ts)) END "
+    "- INTERVAL 30 MINUTE AS probed_at FROM events)",
+)
+
 _FAILED = " UNION ALL ".join(
     f"SELECT '{e}' AS entity, failed, count(*) AS rows FROM checked_{e} GROUP BY failed"
     for e in ("customers", "products", "orders", "order_items", "payments", "clickstream", "inventory")
@@ -126,6 +137,7 @@ STATEMENTS = {
     "scd2_products": f"SELECT {_PRODUCT}, is_deleted, {_validity()} FROM products",
     "scd2_events": _EVENT_HISTORY,
     "scd2_sliced": _EVENT_HISTORY,
+    "scd2_bursty": f"SELECT user_id, event_type, is_deleted, {_validity()} FROM ({_BURST_CHAIN})",
     "scd2_late": f"SELECT {_CUSTOMER}, is_deleted, {_validity()} FROM customers",
     "scd2_soft_delete": "SELECT is_deleted, is_current, count(*) AS versions FROM products GROUP BY ALL",
     "surrogate_key": f"SELECT product_id, {_ts('effective_from')}, product_sk FROM dim_product",
@@ -134,6 +146,8 @@ STATEMENTS = {
     "dim_product": f"SELECT {_PRODUCT}, is_deleted, {_validity()}, product_sk FROM dim_product",
     "asof_hash": _EVENT_ASOF,
     "asof_sweep": _EVENT_ASOF,
+    "asof_bursty": _BURST_ASOF,
+    "backlog_run": f"SELECT {_LINE} FROM silver_order_items",
     "fact_order_items": f"""SELECT order_id, order_item_id, date_key, customer_sk, product_sk, customer_id, product_id,
         {_ts('order_purchase_ts')}, order_status, quantity, {_d('unit_price', 'freight_value', 'item_revenue', 'line_total')} FROM fact_items""",
     "fact_lines_checked": "SELECT order_id, count(*) AS lines, CAST(sum(line_total) AS DOUBLE) AS total FROM fact_items GROUP BY order_id",

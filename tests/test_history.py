@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.dedupe import by_arrival, latest_state, latest_values
 from tidemark.operators.history import HistorySpec, apply_changes, build_history, empty_history, from_bounds
+from tidemark.operators.rules import flag_known
+from tidemark.operators.slices import with_slices
 
 CHANGES = "customer_id string, city string, op string, change_ts timestamp_ntz, lsn long"
 SPEC = HistorySpec("customer_id", ("city",))
@@ -145,6 +147,31 @@ def test_sliced_history_equals_a_plain_loop(spark, rows_per_slice):
     assert found == brute_force(events)
 
 
+def test_slices_hold_equally_many_rows_of_a_bursty_key(spark):
+    at = [(day(1) + dt.timedelta(microseconds=n) if n < 1990 else day(2) + dt.timedelta(hours=n),) for n in range(2000)]
+    frame = spark.createDataFrame([("H", *a) for a in at] + [("C", day(1))], "k string, at timestamp_ntz")
+    sizes = with_slices(frame, ["k"], "at", rows_per_slice=100).groupBy("k", "_slice").count().collect()
+    assert {r["count"] for r in sizes if r.k == "C"} == {1} and {r["_slice"] for r in sizes if r.k == "C"} == {0}
+    assert len(sizes) == 21 and max(r["count"] for r in sizes) <= 200
+
+
+def test_a_hot_key_of_the_known_key_test_is_split(spark):
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(40_000).selectExpr("CASE WHEN id % 10 < 8 THEN 'H' ELSE concat('K', id) END AS k", "uuid() AS v").repartition(8)
+        flagged = flag_known(df, spark.range(3000).selectExpr("concat('K', id) AS k").repartition(4), "k", "known")
+        flagged.write.format("noop").mode("overwrite").save()
+        flagged.collect()
+        assert "skew=true" in flagged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+
+
 def test_slices_follow_time_in_a_zone_with_clock_changes(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:

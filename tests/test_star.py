@@ -9,7 +9,7 @@ import pytest
 from conftest import day, rows
 from pyspark.sql import functions as F
 
-from tidemark.operators.asof import as_of_join, most_versions
+from tidemark.operators.asof import as_of_join
 from tidemark.operators.combine import group_maximum, join_aggregated, new_columns, union_drifting
 from tidemark.plans import gate, reports, star
 
@@ -18,14 +18,14 @@ FACTS = "order_id string, product_id string, ts timestamp_ntz"
 MONEY = "decimal(12,2)"
 
 
-@pytest.mark.parametrize("plan", ["hash", "sweep", "auto"])
-def test_as_of_join_picks_the_version_valid_at_the_time(spark, plan):
+@pytest.mark.parametrize("rows_per_slice", [1, 10_000])
+def test_as_of_join_picks_the_version_valid_at_the_time(spark, rows_per_slice):
     dim = spark.createDataFrame([("P1", "old", day(1), day(10)), ("P1", "new", day(10), None), ("P2", "gone", day(1), day(2))], VERSIONS)
     fact = spark.createDataFrame(
         [("O1", "P1", day(5)), ("O2", "P1", day(10)), ("O3", "P9", day(5)), ("O4", "P1", day(0)), ("O5", None, day(5)), ("O6", "P1", None), ("O7", "P2", day(2))],
         FACTS,
     )
-    out = as_of_join(fact, dim, "product_id", "ts", "product_sk", plan)
+    out = as_of_join(fact, dim, "product_id", "ts", "product_sk", rows_per_slice)
     assert rows(out, "order_id", "product_sk") == [
         ("O1", "old"), ("O2", "new"), ("O3", "-1"), ("O4", "-1"), ("O5", "-1"), ("O6", "-1"), ("O7", "-1"),
     ]
@@ -33,7 +33,7 @@ def test_as_of_join_picks_the_version_valid_at_the_time(spark, plan):
 
 
 @pytest.mark.parametrize("rows_per_slice", [2, 17, 10_000])
-def test_both_plans_equal_a_plain_loop_with_a_hot_key(spark, rows_per_slice):
+def test_as_of_join_equals_a_plain_loop_with_a_hot_key(spark, rows_per_slice):
     rng = random.Random(3)
     moments = sorted(rng.sample(range(5000), 300))
     versions = [("H", f"h{n}", day(1) + dt.timedelta(seconds=a), day(1) + dt.timedelta(seconds=b)) for n, (a, b) in enumerate(zip(moments, moments[1:])) if n % 5]
@@ -45,10 +45,8 @@ def test_both_plans_equal_a_plain_loop_with_a_hot_key(spark, rows_per_slice):
         assert len(valid) <= 1
         expected.append((order, valid[0] if valid else "-1"))
     fact, dim = spark.createDataFrame(facts, FACTS), spark.createDataFrame(versions, VERSIONS)
-    for plan in ("hash", "sweep"):
-        out = as_of_join(fact, dim, "product_id", "ts", "product_sk", plan, rows_per_slice)
-        assert rows(out, "order_id", "product_sk") == sorted(expected, key=repr)
-    assert most_versions(dim, "product_id") == len([v for v in versions if v[0] == "H"])
+    out = as_of_join(fact, dim, "product_id", "ts", "product_sk", rows_per_slice)
+    assert rows(out, "order_id", "product_sk") == sorted(expected, key=repr)
 
 
 def test_union_of_drifting_frames_and_group_maximum(spark):

@@ -3,13 +3,10 @@
 Validity is half-open ``[effective_from, effective_to)``, an open end means for ever, and a fact without a
 version gets the unknown member. Versions of one key must not overlap, as in :mod:`history`.
 
-Two plans with the same result:
-
-``hash``   equi-join on the key with the range as residual condition. Spark broadcasts the dimension if it
-           is below its size limit, else it sort-merges and splits skewed fact keys. Work grows with
-           facts x versions *of one key*, so it suits dimensions with few versions per key.
-``sweep``  facts and versions in one time-ordered pass that carries the last version forward. Work grows with
-           facts + versions, whatever the number of versions per key; hot keys are cut into time slices.
+The distinct ``(key, time)`` pairs of the facts and the starts of the versions form one time-ordered stream per key; one
+pass carries the last version forward. Work grows with pairs + versions, never with their product, and hot keys are
+cut into time slices. The answers are joined back to the facts on key and time, so neither a hot key nor a time that
+many facts share puts facts into one task.
 """
 
 from __future__ import annotations
@@ -20,80 +17,38 @@ from pyspark.sql import functions as F
 from tidemark.operators.slices import ROWS_PER_SLICE, SLICE, with_slices
 
 UNKNOWN = "-1"  # fixed value: surrogate key of the unknown member
-VERSIONS_PER_KEY = 64  # up to here the residual condition costs less than an ordered pass
-
-
-def most_versions(dim: DataFrame, key: str) -> int:
-    """The largest number of versions of one key (one map-side combined aggregate, one value)."""
-    counted = dim.groupBy(key).agg(F.count("*").alias("versions"))
-    return counted.agg(F.max("versions")).first()[0] or 0
 
 
 def as_of_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    at: str,
-    surrogate: str,
-    plan: str = "hash",
-    rows_per_slice: int = ROWS_PER_SLICE,
+    fact: DataFrame, dim: DataFrame, key: str, at: str, surrogate: str, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
-    """Add ``surrogate`` of the version of ``key`` valid at ``at``.
-
-    ``plan="auto"`` looks at the dimension first and picks ``hash`` or ``sweep``.
-    """
-    if plan == "auto":
-        plan = "hash" if most_versions(dim, key) <= VERSIONS_PER_KEY else "sweep"
-    versions = dim.select(
-        F.col(key).alias("_key"),
-        F.col(surrogate).alias("_found"),
-        F.col("effective_from").alias("_from"),
-        F.col("effective_to").alias("_to"),
-    )
-    if plan == "hash":
-        joined = _hash_join(fact, versions, key, at)
-    elif plan == "sweep":
-        joined = _sweep(fact, versions, key, at, rows_per_slice)
-    else:
-        raise ValueError(f"unknown plan {plan!r}")
-    return joined.withColumn(surrogate, F.coalesce("_found", F.lit(UNKNOWN))).drop("_found")
+    """Add ``surrogate`` of the version of ``key`` valid at ``at``; a fact without key or time has none."""
+    answers = versions_at(fact.select(key, at), dim, key, at, surrogate, rows_per_slice)
+    answers = answers.withColumnsRenamed({key: "_key", at: "_moment"})
+    joined = fact.join(answers, (fact[key] == answers["_key"]) & (fact[at] == answers["_moment"]), "left")
+    return joined.select(*(fact[c] for c in fact.columns), F.coalesce(answers[surrogate], F.lit(UNKNOWN)).alias(surrogate))
 
 
-def _hash_join(fact: DataFrame, versions: DataFrame, key: str, at: str) -> DataFrame:
-    moment = fact[at]
-    valid = (moment >= versions["_from"]) & (versions["_to"].isNull() | (moment < versions["_to"]))
-    return fact.join(versions, (fact[key] == versions["_key"]) & valid, "left").drop("_key", "_from", "_to")
-
-
-def _sweep(fact: DataFrame, versions: DataFrame, key: str, at: str, rows_per_slice: int) -> DataFrame:
-    # A fact without key or time has no version: it skips the ordered pass, so NULLs are no hot key.
-    placed = F.col(key).isNotNull() & F.col(at).isNotNull()
-    facts = fact.where(placed).withColumns({"_at": F.col(at), "_is_fact": F.lit(True)})
-    starts = versions.where("_key IS NOT NULL").select(
-        F.col("_key").alias(key),
-        F.col("_from").alias("_at"),
-        F.lit(False).alias("_is_fact"),
-        F.struct("_found", "_to").alias("_version"),
-    )
-    stream = with_slices(facts.unionByName(starts, allowMissingColumns=True), [key], "_at", rows_per_slice)
-    # A version that starts at the fact's own time sorts before it, hence applies.
-    so_far = Window.partitionBy(key, SLICE).orderBy("_at", "_is_fact").rowsBetween(Window.unboundedPreceding, 0)
-    swept = stream.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far)).where("_is_fact")
-    carried = _carried_versions(stream, key)
-    version = F.coalesce("_version", "_carried")
-    open_or_later = version["_to"].isNull() | (F.col("_at") < version["_to"])
-    found = (
-        swept.join(carried, [key, SLICE], "left")
-        .withColumn("_found", F.when(open_or_later, version["_found"]))
-        .select(*fact.columns, "_found")
-    )
-    rest = fact.where(~placed).withColumn("_found", F.lit(None).cast(found.schema["_found"].dataType))
-    return found.unionByName(rest)
+def versions_at(
+    moments: DataFrame, dim: DataFrame, key: str, at: str, surrogate: str, rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
+    """``key, at, surrogate`` for each distinct moment at which a version is valid."""
+    asked = moments.where(F.col(key).isNotNull() & F.col(at).isNotNull()).distinct()
+    asked = asked.select(key, F.col(at).alias("_at"), F.lit(1).alias("_asks"))
+    version = F.struct(F.col(surrogate).alias("found"), F.col("effective_to").alias("until"))
+    starts = dim.where(F.col(key).isNotNull()).select(key, F.col("effective_from").alias("_at"), F.lit(0).alias("_asks"), version.alias("_version"))
+    stream = with_slices(asked.unionByName(starts, allowMissingColumns=True), [key], "_at", rows_per_slice)
+    # A version that starts at the moment itself sorts before it, hence applies.
+    so_far = Window.partitionBy(key, SLICE).orderBy("_at", "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    swept = stream.withColumn("_last", F.last("_version", ignorenulls=True).over(so_far)).where("_asks = 1")
+    swept = swept.join(_carried_versions(stream, key), [key, SLICE], "left").withColumn("_last", F.coalesce("_last", "_carried"))
+    valid = F.col("_last").isNotNull() & (F.col("_last.until").isNull() | (F.col("_at") < F.col("_last.until")))
+    return swept.where(valid).select(key, F.col("_at").alias(at), F.col("_last.found").alias(surrogate))
 
 
 def _carried_versions(stream: DataFrame, key: str) -> DataFrame:
     """For each slice of a hot key, the last version that started in an earlier slice."""
-    started = F.when(~F.col("_is_fact"), F.col("_at"))
+    started = F.when(F.col("_asks") == 0, F.col("_at"))
     summary = (
         stream.where(F.col(SLICE) > 0).groupBy(key, SLICE).agg(F.max_by("_version", started).alias("_last_version"))
     )

@@ -24,6 +24,27 @@ def join_aggregated(left: DataFrame, right: DataFrame, keys: Sequence[str], aggr
     return left.join(right.groupBy(*keys).agg(*aggregates), list(keys), how)
 
 
+def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys, so laid out that a join with them shuffles both of its sides anew.
+
+    Spark splits a hot key of a join only between a shuffle and the join; a plain ``distinct`` would hand over its own
+    shuffle. The helper column is always 0 and makes that shuffle useless for the join.
+    """
+    spread = F.pmod(F.hash(*keys), F.lit(1))
+    return df.groupBy(*keys, spread.alias("_spread")).agg(F.count("*").alias("_n")).drop("_spread", "_n")
+
+
+def replace_keys(table: DataFrame, rows: DataFrame, touched: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``table`` with all rows of the keys in ``touched`` replaced by ``rows``.
+
+    The keys are joined as they come: a semi or anti join on raw keys repeats no row, and Spark can split its hot keys.
+    Both parts may be partitioned alike; the union must not rely on that, since adaptive execution coalesces each by
+    itself. ``least`` of a key with itself is the key, but no partitioning Spark would recognise.
+    """
+    rows = rows.withColumns({k: F.least(k, k) for k in keys})
+    return rows.unionByName(table.join(touched.select(*keys), list(keys), "left_anti"))
+
+
 def group_maximum(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
     """All rows of each group's highest ``by``.
 

@@ -10,6 +10,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.combine import distinct_keys
 from tidemark.operators.conform import LINEAGE
 
 FAILED = "_failed_rules"
@@ -77,9 +78,9 @@ def flag_known(df: DataFrame, master: DataFrame, key: str, flag: str) -> DataFra
     """Add a boolean: does ``key`` occur in ``master``?
 
     The master is reduced to distinct keys, so the join cannot multiply rows. No hint: Spark broadcasts
-    the keys only below its own size limit and otherwise sort-merges with skew splitting.
+    the keys only below its own size limit and otherwise sort-merges, splitting hot keys (see ``distinct_keys``).
     """
-    known = master.select(key).distinct().withColumn(flag, F.lit(True))
+    known = distinct_keys(master.select(key), [key]).withColumn(flag, F.lit(True))
     return df.join(known, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 

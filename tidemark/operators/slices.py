@@ -1,10 +1,10 @@
 """Time slices for hot keys: lets an ordered per-key computation use many tasks for one key.
 
 A window partitioned by a key puts all of the key's rows into one task. Where a key holds more than
-``rows_per_slice`` rows, its time span is cut into equal slices, and windows are partitioned by
-``(key, _slice)``. What a slice needs from its neighbours is a small per-slice summary (see
-:mod:`tidemark.operators.history` and :mod:`tidemark.operators.asof`). Ordinary keys have the one slice 0,
-for which no summary is made. The number of slices changes the parallelism only, never the result.
+``rows_per_slice`` rows, it is cut at quantiles of its own times, so slices hold about equally many rows however
+bursty the key is, and windows are partitioned by ``(key, _slice)``. What a slice needs from its neighbours is a
+small per-slice summary (see :mod:`tidemark.operators.history` and :mod:`tidemark.operators.asof`). Ordinary keys
+have the one slice 0, for which no summary is made. The slices change the parallelism only, never the result.
 """
 
 from __future__ import annotations
@@ -17,9 +17,9 @@ from pyspark.sql import types as T
 
 SLICE = "_slice"
 ROWS_PER_SLICE = 1_000_000
-# At most this many keys are sliced, the largest first, so the broadcast list has a fixed bound.
-# A key beyond it is handled whole, as slice 0, with the same result.
-HOT_KEY_LIMIT = 10_000
+# Quantiles taken of a hot key: its slices are made of such parts, so one key spreads over so many tasks at most.
+PARTS = 512
+QUANTILE_ACCURACY = 20 * PARTS
 
 
 def ticks(df: DataFrame, at: str) -> Column:
@@ -31,34 +31,28 @@ def ticks(df: DataFrame, at: str) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], at: str, rows_per_slice: int) -> DataFrame:
-    """Keys above ``rows_per_slice`` rows with their time span and slice count."""
-    tick = ticks(df, at)
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"), F.min(tick).alias("_lo"), F.max(tick).alias("_hi"))
-        .where(F.col("_rows") > rows_per_slice)
-        .orderBy(F.col("_rows").desc(), *keys)
-        .limit(HOT_KEY_LIMIT)
-        .select(*keys, "_lo", "_hi", F.ceil(F.col("_rows") / F.lit(rows_per_slice)).alias("_slices"))
-    )
+    """All keys above ``rows_per_slice`` rows with the ticks at which to cut them.
+
+    Counts and quantile sketches are combined on the map side: a hot key sends one row per task.
+    """
+    parts = F.array(*(F.lit(n / PARTS) for n in range(1, PARTS)))
+    large = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > rows_per_slice)
+    sketched = df.select(*keys, ticks(df, at).alias("_tick")).join(large, list(keys))
+    sketched = sketched.groupBy(*keys).agg(F.max("_rows").alias("_rows"), F.percentile_approx("_tick", parts, QUANTILE_ACCURACY).alias("_parts"))
+    slices = F.least(F.ceil(F.col("_rows") / F.lit(rows_per_slice)), F.lit(PARTS)).cast("int")
+    cut = F.transform(F.sequence(F.lit(1), slices - 1), lambda n: F.element_at("_parts", (n * PARTS / slices).cast("int")))
+    return sketched.select(*keys, cut.alias("_cuts"))
 
 
-def with_slices(
-    df: DataFrame,
-    keys: Sequence[str],
-    at: str,
-    rows_per_slice: int = ROWS_PER_SLICE,
-    counted: DataFrame | None = None,
-) -> DataFrame:
+def with_slices(df: DataFrame, keys: Sequence[str], at: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Add ``_slice``: 0 for ordinary keys, 1..n in time order for hot ones.
 
-    ``counted`` is a cheaper frame to count from, with at least the rows of ``df`` per key.
+    Equal times of a key share a slice, so ``df`` should hold a key's time only once or few times. The list of hot keys
+    is joined without a hint: Spark broadcasts it where its measured size allows.
     """
-    hot = F.broadcast(hot_keys(df if counted is None else counted, keys, at, rows_per_slice))
-    span = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1.0))
-    number = F.floor((ticks(df, at) - F.col("_lo")) / span * F.col("_slices")) + F.lit(1)
-    return (
-        df.join(hot, list(keys), "left")
-        .withColumn(SLICE, F.coalesce(F.least(number, F.col("_slices")), F.lit(0)).cast("long"))
-        .drop("_lo", "_hi", "_slices")
-    )
+    hot = hot_keys(df, keys, at, rows_per_slice)
+    tick = ticks(df, at)
+    before = F.size(F.filter("_cuts", lambda cut: cut < F.col("_tick")))
+    placed = df.withColumn("_tick", tick).join(hot, list(keys), "left")
+    number = F.when(F.col("_cuts").isNull(), 0).otherwise(before + 1).cast("long")
+    return placed.withColumn(SLICE, number).drop("_cuts", "_tick")

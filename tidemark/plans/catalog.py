@@ -128,6 +128,27 @@ def scd2_sliced(lake: Lake) -> DataFrame:
     return _without_lineage(build_history(lake.source("events"), EVENT_HISTORY, rows_per_slice=50))
 
 
+def _bursts(lake: Lake) -> DataFrame:
+    """The event log with nine of ten events moved into one day, at their own time of day."""
+    midnight = F.date_trunc("DAY", "ts")
+    moved = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz") + (F.col("ts") - midnight)
+    return lake.source("events").withColumn("ts", F.when(F.col("event_id") % 10 == 0, F.col("ts")).otherwise(moved))
+
+
+def scd2_bursty(lake: Lake) -> DataFrame:
+    """G1 where most events of a user fall on one day and users are cut into slices."""
+    return _without_lineage(build_history(_bursts(lake), EVENT_HISTORY, rows_per_slice=20))
+
+
+def asof_bursty(lake: Lake) -> DataFrame:
+    """D2 over the same bursts."""
+    history = build_history(_bursts(lake), EVENT_HISTORY)
+    versions = history.withColumn("version_sk", surrogate_key("user_id", timestamp_text("effective_from")))
+    at = F.timestamp_add("MINUTE", F.lit(-30), F.col("ts"))
+    probes = _bursts(lake).select("event_id", "user_id", at.alias("probed_at"))
+    return as_of_join(probes, versions, "user_id", "probed_at", "version_sk", rows_per_slice=20)
+
+
 def scd2_late(lake: Lake) -> DataFrame:
     """G1 in two loads, the second one holding late events: only affected keys are rebuilt."""
     spec = BY_NAME["customers"].merge.history
@@ -153,14 +174,14 @@ def _event_probes(lake: Lake) -> DataFrame:
 
 
 def asof_hash(lake: Lake) -> DataFrame:
-    """D2 as a join on the key with the range as residual condition."""
-    return as_of_join(_event_probes(lake), _event_versions(lake), "user_id", "probed_at", "version_sk", plan="hash")
+    """D2 with whole keys."""
+    return as_of_join(_event_probes(lake), _event_versions(lake), "user_id", "probed_at", "version_sk")
 
 
 def asof_sweep(lake: Lake) -> DataFrame:
-    """D2 as one ordered pass with sliced keys: no pairs are formed."""
+    """D2 with keys cut into time slices."""
     probes, versions = _event_probes(lake), _event_versions(lake)
-    return as_of_join(probes, versions, "user_id", "probed_at", "version_sk", plan="sweep", rows_per_slice=100)
+    return as_of_join(probes, versions, "user_id", "probed_at", "version_sk", rows_per_slice=100)
 
 
 def keys_of_products(lake: Lake) -> DataFrame:
@@ -213,6 +234,7 @@ def gate_checks(lake: Lake) -> DataFrame:
             "gold_dim_product": (lake.dim_product, "product_id"),
         },
         "orders_cdc",
+        lake.spark,
         _now(),
     )
 
@@ -272,6 +294,7 @@ QUERIES: dict[str, Query] = {
     "scd2_products": _on_lake(lambda lake: _without_lineage(lake.kept("products"))),
     "scd2_events": _on_lake(scd2_events),
     "scd2_sliced": _on_lake(scd2_sliced),
+    "scd2_bursty": _on_lake(scd2_bursty),
     "scd2_late": _on_lake(scd2_late),
     "scd2_soft_delete": _on_lake(scd2_soft_delete),
     "surrogate_key": _on_lake(keys_of_products),
@@ -280,6 +303,7 @@ QUERIES: dict[str, Query] = {
     "dim_product": _on_lake(lambda lake: lake.dim_product),
     "asof_hash": _on_lake(asof_hash),
     "asof_sweep": _on_lake(asof_sweep),
+    "asof_bursty": _on_lake(asof_bursty),
     "fact_order_items": _on_lake(lambda lake: lake.fact_items),
     "fact_lines_checked": _on_lake(fact_lines_checked),
     "fact_losses": _on_lake(fact_losses),

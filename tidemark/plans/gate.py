@@ -116,22 +116,30 @@ def missing_input(spark: SparkSession, name: str, limit: float) -> DataFrame:
 def gate(
     bronze: Mapping[str, DataFrame],
     quarantines: Mapping[str, DataFrame],
-    recon: DataFrame,
-    fact: DataFrame,
-    dims: Mapping[str, tuple[DataFrame, str]],
+    recon: DataFrame | None,
+    fact: DataFrame | None,
+    dims: Mapping[str, tuple[DataFrame | None, str]],
     fresh_source: str,
+    spark: SparkSession,
     now: Column,
     max_age_hours: float = FRESHNESS_HOURS,
 ) -> DataFrame:
-    """All checks, one row each: seven sources, reconciliation, grain, two dimensions, unknown members, freshness."""
+    """All checks, one row each: seven sources, reconciliation, grain, two dimensions, unknown members, freshness.
+
+    A table that does not exist is a failed row of each of its checks (S24).
+    """
     checks = [quarantine_rate(source, rows, quarantines.get(source)) for source, rows in bronze.items()]
-    checks.append(reconciliation_rate(recon))
-    checks.append(fact_checks(fact, ["order_id", "order_item_id"]))
-    checks += [one_current_version(name, dim, key) for name, (dim, key) in dims.items()]
+    checks.append(missing_input(spark, "revenue_reconciliation", MISMATCH_RATE_LIMIT) if recon is None else reconciliation_rate(recon))
+    if fact is None:
+        checks += [missing_input(spark, f"fact_order_items.{name}", limit) for name, limit in (("unique_grain", 0), ("unknown_members", UNKNOWN_MEMBER_LIMIT))]
+    else:
+        checks.append(fact_checks(fact, ["order_id", "order_item_id"]))
+    for name, (dim, key) in dims.items():
+        checks.append(missing_input(spark, f"{name}.one_current_version", 0) if dim is None else one_current_version(name, dim, key))
     if fresh_source in bronze:
         checks.append(freshness(fresh_source.removesuffix("_cdc"), bronze[fresh_source], now, max_age_hours))
     else:
-        checks.append(missing_input(recon.sparkSession, f"freshness_hours.{fresh_source.removesuffix('_cdc')}", max_age_hours))
+        checks.append(missing_input(spark, f"freshness_hours.{fresh_source.removesuffix('_cdc')}", max_age_hours))
     return reduce(DataFrame.unionByName, checks)
 
 

@@ -15,7 +15,6 @@ from tidemark.sources.tables import BATCH, BRONZE_LINEAGE, BUCKET, Tables
 
 FACT = "gold_fact_order_items"
 MONTH = "fact_month"
-MOST_MONTHS = 240  # beyond, a whole build is cheaper than naming the parts
 STAR_SOURCES = ("customers", "products", "orders", "order_items")
 
 
@@ -49,8 +48,7 @@ def month_of(moment: str) -> Column:
 def build_star(tables: Tables, months: Sequence[int] | None = None) -> list[dict]:
     """Dimensions and facts; the fact for the given purchase months only, or whole.
 
-    The dimensions are written first and read back, so their size is known when the as-of join picks its plan, and
-    they are computed once.
+    The dimensions are written first and read back, so they are computed once.
     """
     written = []
 
@@ -65,7 +63,7 @@ def build_star(tables: Tables, months: Sequence[int] | None = None) -> list[dict
     items = kept(tables, "order_items").select("order_id", "order_item_id", "product_id", "quantity", "unit_price", "freight_value")
     if months is not None:
         orders = orders.where(month_of("order_purchase_ts").isin(list(months)))
-    fact = star.keyed_lines(star.fact_order_items(items, orders, customers, products, plan="auto"))
+    fact = star.keyed_lines(star.fact_order_items(items, orders, customers, products))
     rows = tables.write_parts(fact.withColumn(MONTH, month_of("order_purchase_ts")), FACT, MONTH, months, ["date_key"])
     written.append({"table": FACT, "rows": rows})
     save("gold_fact_order_payments", star.fact_order_payments(kept(tables, "payments")))
@@ -119,8 +117,7 @@ def touched_months(tables: Tables) -> list[int] | None:
         moved.where("order_purchase_ts >= _since").select(month_of("order_purchase_ts").alias(MONTH)),
         sold.where("order_purchase_ts >= _since").select(month_of("order_purchase_ts").alias(MONTH)),
     ]
-    months = sorted(r[0] for r in reduce(DataFrame.union, touched).distinct().collect())  # one number per month
-    return months if len(months) <= MOST_MONTHS else None
+    return sorted(r[0] for r in reduce(DataFrame.union, touched).distinct().collect())  # one number per calendar month
 
 
 def build_gold(tables: Tables, full: bool = False) -> list[dict]:

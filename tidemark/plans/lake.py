@@ -1,4 +1,8 @@
-"""The retail layers over the given tables as lazily built frames: raw, typed, checked, accepted, kept, star."""
+"""The retail layers over the given tables: raw, typed, checked, accepted, kept, star.
+
+Up to accepted rows they are lazy frames. Kept tables, dimensions and facts are written to the shared folder when first
+asked for and read back, as in a run: every report above them scans a table instead of computing the layers again.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators.rules import quarantined
 from tidemark.plans import feeds, reports, silver, star
 from tidemark.plans.retail import BY_NAME
+from tidemark.sources.tables import stored
 
 
 class Lake:
@@ -19,7 +24,7 @@ class Lake:
         self.folder = folder
         self.raw = lru_cache(maxsize=None)(lambda name: feeds.feed(spark, folder, name))
         self.checked = lru_cache(maxsize=None)(self._checked)
-        self.kept = lru_cache(maxsize=None)(lambda name: silver.merged(BY_NAME[name], self.accepted(name)))
+        self.kept = lru_cache(maxsize=None)(self._kept)
 
     def source(self, name: str) -> DataFrame:
         return feeds.table(self.spark, self.folder, name)
@@ -32,6 +37,9 @@ class Lake:
         master = self.accepted(entity.reference.master) if entity.reference else None
         return silver.checked(entity, self.raw(name), master)
 
+    def _kept(self, name: str) -> DataFrame:
+        return stored(silver.merged(BY_NAME[name], self.accepted(name)), f"kept-{name}")
+
     def accepted(self, name: str) -> DataFrame:
         return silver.accepted_rows(BY_NAME[name], self.checked(name))
 
@@ -40,11 +48,11 @@ class Lake:
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return star.dim_customer(self.kept("customers"))
+        return stored(star.dim_customer(self.kept("customers")), "dim-customer")
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return star.dim_product(self.kept("products"))
+        return stored(star.dim_product(self.kept("products")), "dim-product")
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -52,11 +60,12 @@ class Lake:
 
     @cached_property
     def fact_items(self) -> DataFrame:
-        return star.fact_order_items(self.kept("order_items"), self.kept("orders"), self.dim_customer, self.dim_product)
+        fact = star.fact_order_items(self.kept("order_items"), self.kept("orders"), self.dim_customer, self.dim_product)
+        return stored(fact, "fact-items")
 
     @cached_property
     def fact_payments(self) -> DataFrame:
-        return star.fact_order_payments(self.kept("payments"))
+        return stored(star.fact_order_payments(self.kept("payments")), "fact-payments")
 
     @cached_property
     def quarantined_ids(self) -> DataFrame:

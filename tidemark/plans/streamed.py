@@ -19,7 +19,7 @@ from tidemark.sources.envelope import decode_envelope
 from tidemark.sources.landing import landing_files, read_landing
 from tidemark.sources.tables import BUCKET, Tables, run_folder
 from tidemark.streaming.clicks import start_unique_events
-from tidemark.streaming.entities import start_entity
+from tidemark.streaming.entities import catch_up, start_entity
 from tidemark.streaming.ingest import ingested_files, start_ingest
 from tidemark.streaming.run import run_once
 
@@ -126,6 +126,19 @@ def stream_first(lake: Lake) -> DataFrame:
     return kept.join(bad.agg(F.count("*").alias("quarantined")), "order_id", "left").na.fill(0, ["quarantined"])
 
 
+def backlog_run(lake: Lake) -> DataFrame:
+    """Order lines that arrived in one load each per original load and are then refreshed at once."""
+    site = Site(lake, "backlog")
+    site.land(PRODUCTS, lake.raw("products"), "all")
+    site.refresh(PRODUCTS)
+    rows = lake.raw("order_items")
+    for part in range(1, 7):
+        site.land(ORDER_ITEMS, rows.where("_batch_id >= 6" if part == 6 else f"_batch_id = {part}"), f"part-{part}")
+        site.ingest(ORDER_ITEMS)
+    catch_up(site.tables, ORDER_ITEMS)
+    return _kept(site, ORDER_ITEMS).select("order_id", "order_item_id", "product_id", "quantity", *(F.col(c).cast("double") for c in ("unit_price", "freight_value")))
+
+
 def stream_dedupe(lake: Lake) -> DataFrame:
     """Clicks once each, though some are delivered again in a later load."""
     site = Site(lake, "stream-dedupe")
@@ -177,6 +190,7 @@ STREAMED = {
     "stream_scd2": stream_scd2,
     "stream_scd1": stream_scd1,
     "stream_first": stream_first,
+    "backlog_run": backlog_run,
     "stream_dedupe": stream_dedupe,
     "stream_run": stream_run,
     "envelope_decode": envelope_decode,

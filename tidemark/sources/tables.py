@@ -43,6 +43,13 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: computed once, whatever reads it, and safe from lost executors."""
+    path = run_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Tables:
     """Read and write tables under a folder, or whole tables of a database when ``database`` is given."""
 

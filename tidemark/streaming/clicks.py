@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.plans import silver
 from tidemark.plans.retail import CLICKSTREAM, Entity
 
 DELAY = "2 hours"  # fixed value: how late a click may arrive
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -26,11 +27,36 @@ def unique_events(raw: DataFrame, entity: Entity = CLICKSTREAM, event_time: str
 
 
 def start_unique_events(raw: DataFrame, path: str, checkpoint: str, day: str = "event_date") -> StreamingQuery:
-    """Write the events once each, partitioned by day. Large keys spaces want the RocksDB state store (:data:`ROCKSDB`)."""
-    writer = unique_events(raw).writeStream.format("parquet").partitionBy(day)
-    return writer.option("checkpointLocation", checkpoint).option("path", path).trigger(availableNow=True).start()
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark (J5), from the query's progress."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+    """Write the events once each, partitioned by day. The keys within the delay are kept in RocksDB, off the heap."""
+    spark = raw.sparkSession
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)  # a query keeps the settings it starts with
+    try:
+        writer = unique_events(raw).writeStream.format("parquet").partitionBy(day)
+        return writer.option("checkpointLocation", checkpoint).option("path", path).trigger(availableNow=True).start()
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
+class LateRows(StreamingQueryListener):
+    """Counts the rows each query drops behind its watermark (J5), over all of its progress."""
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        run = str(event.progress.runId)
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.dropped[run] = self.dropped.get(run, 0) + late
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.dropped.get(str(query.runId), 0)

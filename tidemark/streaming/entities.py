@@ -30,10 +30,10 @@ def _master(tables: Tables, entity: Entity) -> DataFrame | None:
     return tables.spark.createDataFrame([], f"{key} string") if found is None else found.select(key)
 
 
-def process_batch(tables: Tables, entity: Entity, batch_id: int) -> dict:
-    """One load of an entity: typed, checked, split into quarantine and accepted log, published.
+def load_batch(tables: Tables, entity: Entity, batch_id: int) -> dict:
+    """One load of an entity: typed, checked and split into quarantine and accepted log.
 
-    Running it again for the same load leaves the same tables.
+    Running it again for the same load leaves the same rows.
     """
     table = table_name(entity)
     raw = tables.bronze(entity.feed, batch_id)
@@ -44,30 +44,47 @@ def process_batch(tables: Tables, entity: Entity, batch_id: int) -> dict:
         accepted = tables.write_log(kept, f"{table}_log", batch_id, entity.merge.keys)
     finally:
         rows.unpersist()
-    changed = publish(tables, entity, batch_id) if accepted else 0
-    tables.set_watermark(table, batch_id)
     return {
         "table": table,
         "batch_id": batch_id,
         "rows_read": accepted + rejected,
         "rows_valid": accepted,
         "rows_quarantined": rejected,
-        "rows_published": changed,
+        "rows_published": 0,
     }
 
 
-def publish(tables: Tables, entity: Entity, batch_id: int) -> int:
-    """Rebuild the key buckets that a load touched from the accepted log of those buckets."""
+def process_loads(tables: Tables, entity: Entity, batch_ids: list[int]) -> list[dict]:
+    """Loads in order, then one publish for all of them, then the mark: a run that died is repeated from its first load.
+
+    The rows published are counted with the last load.
+    """
+    loads = [load_batch(tables, entity, batch_id) for batch_id in batch_ids]
+    changed = [load["batch_id"] for load in loads if load["rows_valid"]]
+    if changed:
+        loads[-1]["rows_published"] = publish(tables, entity, changed)
+    if loads:
+        tables.set_watermark(table_name(entity), max(batch_ids))
+    return loads
+
+
+def process_batch(tables: Tables, entity: Entity, batch_id: int) -> dict:
+    """A single load, published at once, as a stream does it."""
+    return process_loads(tables, entity, [batch_id])[0]
+
+
+def publish(tables: Tables, entity: Entity, batch_ids: list[int]) -> int:
+    """Rebuild the key buckets that the given loads touched from the accepted log of those buckets."""
     table = table_name(entity)
-    touched = tables.touched_buckets(f"{table}_log", batch_id)
+    touched = sorted({bucket for batch_id in batch_ids for bucket in tables.touched_buckets(f"{table}_log", batch_id)})
     log = tables.log(f"{table}_log").where(F.col(BUCKET).isin(touched)).drop(BUCKET)
     return tables.publish(silver.merged(entity, log), table, entity.merge.keys, within=entity.sorted_by)
 
 
 def catch_up(tables: Tables, entity: Entity) -> list[dict]:
-    """Process every bronze load the table has not seen."""
+    """Process every bronze load the table has not seen, with one publish."""
     pending = tables.batches(f"bronze_{entity.feed}", after=tables.watermark(table_name(entity)))
-    return [process_batch(tables, entity, batch_id) for batch_id in pending]
+    return process_loads(tables, entity, pending)
 
 
 def start_entity(tables: Tables, entity: Entity, landing: str, max_files: int = 1000, every: str | None = None) -> StreamingQuery | None:
