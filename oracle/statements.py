@@ -147,7 +147,7 @@ STATEMENTS = {
     "asof_hash": _EVENT_ASOF,
     "asof_sweep": _EVENT_ASOF,
     "asof_bursty": _BURST_ASOF,
-    "backlog_run": f"SELECT {_LINE} FROM silver_order_items",
+    "backlog_run": "SELECT order_id, count(*) AS lines FROM silver_order_items GROUP BY order_id",
     "fact_order_items": f"""SELECT order_id, order_item_id, date_key, customer_sk, product_sk, customer_id, product_id,
         {_ts('order_purchase_ts')}, order_status, quantity, {_d('unit_price', 'freight_value', 'item_revenue', 'line_total')} FROM fact_items""",
     "fact_lines_checked": "SELECT order_id, count(*) AS lines, CAST(sum(line_total) AS DOUBLE) AS total FROM fact_items GROUP BY order_id",
