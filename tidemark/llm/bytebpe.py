@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,41 +124,46 @@ class Tokenizer:
         """``array<int>`` of token ids; null counts as empty text, which has no ids."""
         ranks, pattern = self.ranks, self.pattern
 
-        @F.pandas_udf("array<int>")
-        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("array<int>")
+        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             codec = _codec(ranks, pattern)
             for texts in batches:
-                yield pd.Series([codec.encode(t or "").astype(np.int32) for t in texts], dtype=object)
+                ids = [codec.encode(t.as_py() or "").view(np.int32) for t in texts]
+                bounds = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                yield pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(ids or [np.zeros(0, np.int32)])))
 
         return encode(text)
 
     def decoded(self, ids: Column) -> Column:
+        """The bytes of an ``array<int>`` of token ids; null counts as no ids."""
         ranks, pattern = self.ranks, self.pattern
 
-        @F.pandas_udf("binary")
-        def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("binary")
+        def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             codec = _codec(ranks, pattern)
             for rows in batches:
-                yield pd.Series([codec.decode(np.asarray(() if x is None else x, np.int64)) for x in rows], dtype=object)
+                yield pa.array([codec.decode(np.asarray(x.as_py() or (), np.int64)) for x in rows], pa.binary())
 
         return decode(ids)
 
-    def digests(self, ids: Column) -> Column:
-        """Count and digests of ids and of the bytes they decode to. On the result of ``encoded`` Spark runs both in
-        one Python pass, so ids never travel."""
+    def digests(self, text: Column) -> Column:
+        """Count and digest of a text's ids, and the digest of the bytes these decode to; only digests leave the task."""
         ranks, pattern = self.ranks, self.pattern
 
-        @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-        def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+        def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             codec = _codec(ranks, pattern)
-            for rows in batches:
-                found = []
-                for ids in rows:
-                    ids = np.asarray(ids, "<u4")
-                    found.append((len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()))
-                yield pd.DataFrame(found, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            for texts in batches:
+                counts, encoded, decoded = [], [], []
+                for t in texts:
+                    ids = codec.encode(t.as_py() or "").astype("<u4")
+                    counts.append(len(ids))
+                    encoded.append(hashlib.sha256(ids.tobytes()).hexdigest())
+                    decoded.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+                columns = [pa.array(counts, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())]
+                yield pa.StructArray.from_arrays(columns, names=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-        return digest(ids)
+        return digest(text)
 
 
 def encode_documents(docs: DataFrame, tokenizer: Tokenizer | None = None) -> DataFrame:
@@ -173,4 +178,4 @@ def encode_documents(docs: DataFrame, tokenizer: Tokenizer | None = None) -> Dat
 def encode_digests(docs: DataFrame, tokenizer: Tokenizer | None = None) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encoded, then decoded again, in one pass without a shuffle."""
     t = tokenizer or Tokenizer()
-    return docs.select("doc_id", t.digests(t.encoded(F.col("text"))).alias("d")).select("doc_id", "d.*")
+    return docs.select("doc_id", t.digests(F.col("text")).alias("d")).select("doc_id", "d.*")

@@ -41,6 +41,8 @@ SIGNALS = tuple(name for name, _, _ in LABELLERS) + ("variety", "word_length", "
 #: Hashed weights, levels per signal, learning rate and ridge of the scorer, length of a text's word part.
 WEIGHTS, LEVELS, RATE, RIDGE, WORDS = 1 << 13, 12, 0.5, 1e-4, 0.3
 EM_ROUNDS = 100
+#: The score of a text without words.
+NO_WORDS = -30.0
 #: Text that a task looks at in one go.
 BYTES = 4 << 20
 #: Documents whose pattern is judged good or bad with this certainty teach the scorer.
@@ -164,7 +166,9 @@ class Model:
     documents: int
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        return np.array([float(self.weights[at] @ value) for at, value in _features(*signals(texts))])
+        shares, words, bounds = signals(texts)
+        found = np.array([float(self.weights[at] @ value) for at, value in _features(shares, words, bounds)])
+        return np.where(np.diff(bounds) > 0, found, NO_WORDS)
 
 
 def fit(docs: DataFrame) -> Model:
@@ -222,8 +226,8 @@ def scored(model: Model, text: Column) -> Column:
 def classify(docs: DataFrame) -> DataFrame:
     """``doc_id, score, kept`` of every document; needs ``doc_id`` and ``text``, whole texts are read.
 
-    ``score`` is the log-odds to be good; positive scores stay. Null and empty texts have no words, which the labellers
-    call bad. Rows are scored one by one, so repeated rows agree. An empty table gives an empty result.
+    ``score`` is the log-odds to be good; positive scores stay. Null, empty and blank texts score -30. The scorer learns
+    from what it sees: a table with a handful of bad documents teaches it little. Rows are scored one by one, so repeated rows agree. An empty table gives an empty result.
     """
     model = fit(docs)
     return docs.select("doc_id", scored(model, F.col("text")).alias("score")).withColumn("kept", F.col("score") > 0)
