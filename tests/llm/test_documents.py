@@ -130,6 +130,56 @@ def test_window_of_an_order_survives_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+@pytest.mark.parametrize("parts", [200, 2000])
+def test_near_copies_of_small_tables_do_not_depend_on_partitions(spark, parts):
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        for n in (2, 10, 50):
+            base = prose(n, 100).split()
+            texts = [(k, " ".join([*base[:95], f"end{k}", *base[96:]])) for k in range(n)]
+            found = [tuple(r) for r in minhash.near_groups(documents(spark, texts)).collect()]
+            assert sorted(found) == sorted(components(texts))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
+def test_range_borders_lose_no_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "RANGE", 1)
+    spark.conf.set("spark.sql.shuffle.partitions", 60)
+    try:
+        test_near_groups_match_all_pairs(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
+def crowd(n, planted):
+    """Texts at mutual similarity 0.71 by a passage, of which ``planted`` pairs are at 0.8 by some more words of their own."""
+    passage, texts = prose(70, 90), []
+    for k in range(n):
+        own = k // 2 if k < 2 * planted else k
+        texts.append((k, f"{passage} {prose(10_000 + own, 6)} {prose(20_000 + k, 11)}"))
+    return texts
+
+
+@pytest.mark.parametrize(("n", "planted", "block"), [(3000, 400, 1024), (300, 40, 32)])
+def test_pairs_in_a_crowd_are_all_found(spark, monkeypatch, n, planted, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    texts = crowd(n, planted)
+    sets = [shingles(t) for _, t in texts[:2] + texts[-1:]]
+    close, far = (len(sets[0] & x) / len(sets[0] | x) for x in sets[1:])
+    assert far < 0.72 and 0.76 < close < 0.83
+    rows = {r.doc_id: r.component_id for r in minhash.near_groups(documents(spark, texts)).collect()}
+    assert rows == {k: k - k % 2 if k < 2 * planted else k for k in range(n)}
+
+
+def test_shared_counts_match_sets():
+    random = np.random.default_rng(6)
+    make = lambda n: [np.unique(random.integers(0, 60, int(random.integers(1, 40))).astype(np.uint64)) for _ in range(n)]
+    for n, m in ((1, 1), (3, 5), (40, 30)):
+        left, right = make(n), make(m)
+        assert minhash.shared_counts(left, right).tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in right] for a in left]
+
+
 def test_class_keys_tell_sets_apart():
     a, b = np.arange(1, 9, dtype=np.uint64), np.arange(1, 10, dtype=np.uint64)
     assert minhash.class_key(a) == minhash.class_key(a[::-1].copy()) != minhash.class_key(b)

@@ -3,14 +3,15 @@
 1. Texts become sets of five-word shingles; a set becomes 256 minima. Documents with the same set are one class, of
    which one goes on, so exact copies never meet as pairs.
 2. Sixteen signature orders: each tree sorts all classes by eight minima of its own. Neighbours within ``WINDOW`` places
-   that share at least ``SHARED`` leading minima are candidates. In a sparse region that is the whole region at depth
-   two; in a dense one the nearest of the order, which share longer prefixes: the depth adapts to the region.
-3. A sketch of all minima discards candidates far below the threshold. Of the others each region first offers a spanning
-   forest; its links are confirmed on the full sets. Then all remaining candidates between different components are
-   confirmed too, and the components are joined.
+   that share at least ``SHARED`` leading minima are first candidates. A sketch discards those far below the threshold;
+   of the others each range offers a spanning forest, whose links are confirmed on the full sets. This only saves work:
+   what a window or a range border leaves out is found by the next step.
+3. A region is all classes that share the ``SHARED`` leading minima of a tree. In every region with more than one
+   component so far, all pairs between different components are candidates: in regions of up to ``SMALL`` rows by
+   sketch and then on the full sets, in larger ones block by block on the full sets. Then the components are joined.
 
 A pair at similarity 0.75 shares two leading minima in a tree with probability 0.56, so all sixteen miss it once in about
-500,000; where a range border cuts an order, a pair may lose one of its sixteen chances.
+500,000. The number of partitions and the size of a crowd change no result.
 """
 
 from __future__ import annotations
@@ -31,6 +32,10 @@ TREES, LEVELS, SHARED, WINDOW = 16, 8, 2, 32
 MINIMA = 256
 #: Links have 100 * intersection >= 75 * union. A sketch estimate below FLOOR is 3.5 standard errors under that.
 PERCENT, FLOOR = 75, 0.65
+#: A region of more rows is compared in blocks. The sketch floor in smaller ones is 7 standard errors below the threshold.
+SMALL, LOW_FLOOR = 128, 0.55
+#: Rows and shingles of a block, and rows of a range at least.
+BLOCK, BLOCK_SHINGLES, RANGE = 1024, 1 << 21, 4096
 BYTES = 8 << 20
 
 _MULTIPLY = _random(11, MINIMA, np.uint32) | np.uint32(1)
@@ -98,8 +103,8 @@ def _fixed(column: pa.Array, dtype: str, width: int) -> np.ndarray:
 class _Order:
     """A window over the rows of one sorted partition."""
 
-    def __init__(self):
-        self.rows = None
+    def __init__(self, window: int, floor: float):
+        self.rows, self.window, self.floor = None, window, floor
 
     def candidates(self, batch: pa.RecordBatch):
         """Columns of the rows in view and the candidate pairs (i, j, estimate) whose later row is new."""
@@ -113,12 +118,12 @@ class _Order:
         }
         old = 0 if self.rows is None else len(self.rows["tree"])
         rows = new if not old else {k: np.concatenate([self.rows[k], v]) for k, v in new.items()}
-        self.rows = {k: v[-WINDOW:] for k, v in rows.items()}
+        self.rows = {k: v[-self.window :] for k, v in rows.items()}
         same = (rows["levels"][1:] == rows["levels"][:-1]) & (rows["tree"][1:] == rows["tree"][:-1])
         common = np.cumprod(same, axis=1).sum(axis=1)
         first, later, close = [], [], []
         reach = common
-        for d in range(1, WINDOW + 1):
+        for d in range(1, self.window + 1):
             if d > 1:
                 reach = np.minimum(reach[:-1], common[d - 1 :])
             i = np.flatnonzero(reach >= SHARED)
@@ -129,7 +134,7 @@ class _Order:
             i = i[100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)]
             equal = _EQUAL_HALVES[rows["sketch"][i] ^ rows["sketch"][i + d]].sum(axis=1, dtype=np.int64) / MINIMA
             estimate = (equal - 1 / 16) * 16 / 15
-            keep = estimate >= FLOOR
+            keep = estimate >= self.floor
             first.append(i[keep])
             later.append(i[keep] + d)
             close.append(estimate[keep])
@@ -139,7 +144,7 @@ class _Order:
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of the candidates in view, closest first, those that join rows which no closer ones have joined."""
-    order = _Order()
+    order = _Order(WINDOW, FLOOR)
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -163,8 +168,8 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All candidates between different components, as a list of partners per row."""
-    order = _Order()
+    """All candidates between different components in whole regions of up to ``SMALL`` rows, as a list of partners per row."""
+    order = _Order(SMALL, LOW_FLOOR)
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -179,15 +184,141 @@ def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _orders(classes: DataFrame) -> DataFrame:
-    """Every class in every tree, sorted within ranges of the tree's order; needs ``root`` beside the signature."""
-    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _regions(classes: DataFrame) -> DataFrame:
+    """Every class in every tree with its minima and its region there; needs ``root`` beside the signature."""
     trees = classes.select(
         F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "orders", "class", "n_shingles", "sketch", "root"
     )
     levels = F.substring("orders", F.col("tree") * (2 * LEVELS) + 1, F.lit(2 * LEVELS))
     rows = trees.select("tree", levels.alias("levels"), "class", "n_shingles", "sketch", "root")
-    return rows.repartitionByRange(parts, "tree", "levels", "class").sortWithinPartitions("tree", "levels", "class")
+    return rows.withColumn("region", F.substring("levels", 1, 2 * SHARED))
+
+
+def _orders(classes: DataFrame) -> DataFrame:
+    """Every class in every tree, sorted within ranges of the tree's order."""
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(parts, classes.count() * TREES // RANGE))
+    return _regions(classes).drop("region").repartitionByRange(parts, "tree", "levels", "class").sortWithinPartitions("tree", "levels", "class")
+
+
+def _open_regions(classes: DataFrame) -> DataFrame:
+    """Regions with more than one component: their rows, the component ``top`` with most rows, and the blocks it and the
+    other rows are cut into."""
+    per_root = _regions(classes).groupBy("tree", "region", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("words"))
+    most = F.max(F.struct("n", "words", "root")).alias("most")
+    found = per_root.groupBy(F.col("tree").alias("_tree"), F.col("region").alias("_region")).agg(
+        F.sum("n").alias("n"), F.sum("words").alias("words"), F.count("*").alias("roots"), most
+    )
+
+    def blocks(n: F.Column, words: F.Column) -> F.Column:
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(words / BLOCK_SHINGLES)).cast("int")
+
+    return found.filter("roots > 1").select(
+        "_tree", "_region", F.col("n").alias("rows"), F.col("most.root").alias("top"),
+        blocks(F.col("most.n"), F.col("most.words")).alias("top_blocks"),
+        blocks(F.col("n") - F.col("most.n"), F.col("words") - F.col("most.words")).alias("blocks"),
+    )
+
+
+def _inside(classes: DataFrame, regions: DataFrame) -> DataFrame:
+    return _regions(classes).join(regions, (F.col("tree") == F.col("_tree")) & (F.col("region") == F.col("_region")))
+
+
+def _blocks(classes: DataFrame, regions: DataFrame) -> DataFrame:
+    """Rows of large regions, once for each pair of blocks they are compared in. Blocks of the largest component are
+    compared with the others only."""
+    own = F.col("root") == F.col("top")
+    block = F.pmod(F.xxhash64("class"), F.when(own, F.col("top_blocks")).otherwise(F.col("blocks"))).cast("int")
+    rows = _inside(classes, regions).select("tree", "region", "class", "root", own.alias("own"), block.alias("block"), "top_blocks", "blocks")
+
+    def pair(top: bool, i: F.Column, j: F.Column) -> F.Column:
+        return F.struct(F.lit(top).alias("with_top"), i.alias("i"), j.alias("j"))
+
+    mine = F.col("block")
+    others = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda k: F.when(F.col("own"), pair(True, k, mine)).otherwise(pair(False, F.least(k, mine), F.greatest(k, mine))),
+    )
+    tops = F.transform(F.sequence(F.lit(0), F.col("top_blocks") - 1), lambda k: pair(True, mine, k))
+    pairs = F.when(F.col("own"), others).otherwise(F.concat(others, tops))
+    return rows.select("tree", "region", "class", "root", "own", "block", F.explode(pairs).alias("pair")).select(
+        "tree", "region", "class", "root", "own", "block", "pair.*"
+    )
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The size of each set's intersection with each of the others. Shingles of few pairs are counted pair by pair, the
+    others by products of 0-1 matrices."""
+    counts = np.zeros((len(left), len(right)), np.float32)
+    one, two = np.concatenate(left), np.concatenate(right)
+    words = np.intersect1d(one, two)
+    if not len(words):
+        return counts
+
+    def placed(all_: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(words, all_), len(words) - 1)
+        held = np.flatnonzero(words[at] == all_)
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[held]
+        order = np.argsort(at[held], kind="stable")
+        at = at[held][order]
+        return at, row[order], np.searchsorted(at, np.arange(len(words) + 1))
+
+    (at, row, first), (at2, row2, first2) = placed(one, left), placed(two, right)
+    n, n2 = np.diff(first), np.diff(first2)
+    few = n * n2 <= 16
+    rare = np.flatnonzero(few[at])
+    times = n2[at[rare]]
+    step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    pairs = np.repeat(row[rare], times) * len(right) + row2[np.repeat(first2[at[rare]], times) + step]
+    counts += np.bincount(pairs, minlength=counts.size).reshape(counts.shape)
+    many = np.flatnonzero(~few)
+    for k in range(0, len(many), 2048):
+        some = many[k : k + 2048]
+        where = np.full(len(words), -1)
+        where[some] = np.arange(len(some))
+        sides = []
+        for a, r, m in ((at, row, len(left)), (at2, row2, len(right))):
+            side = np.zeros((m, len(some)), np.float32)
+            in_side = where[a] >= 0
+            side[r[in_side], where[a[in_side]]] = 1
+            sides.append(side)
+        counts += sides[0] @ sides[1].T
+    return counts
+
+
+def _linked(rows: pa.Table) -> pa.Table:
+    """Of the links between two blocks, those that join components not joined yet."""
+    rows = rows.combine_chunks()
+    own, block = np.asarray(rows.column("own")), np.asarray(rows.column("block"))
+    with_top, i, j = (rows.column(c)[0].as_py() for c in ("with_top", "i", "j"))
+    left = np.flatnonzero(~own & (block == i))
+    right = np.flatnonzero(own if with_top else block == j)
+    a, b = [], []
+    if len(left) and len(right):
+        keys, roots = rows.column("class").to_pylist(), rows.column("root").to_pylist()
+        sets = [np.frombuffer(x.as_buffer(), U64) for x in rows.column("shingles")]
+        number = {r: k for k, r in enumerate(dict.fromkeys(roots))}
+        root = np.array([number[r] for r in roots])
+        sizes = np.array([len(x) for x in sets], np.int64)
+        shared = shared_counts([sets[k] for k in left], [sets[k] for k in right]).astype(np.int64)
+        holds = 100 * shared >= PERCENT * (sizes[left][:, None] + sizes[right][None] - shared)
+        holds &= root[left][:, None] != root[right][None]
+        above = list(range(len(number)))
+
+        def top(x: int) -> int:
+            while above[x] != x:
+                above[x] = x = above[above[x]]
+            return x
+
+        for x, y in np.argwhere(holds).tolist():
+            x, y = int(left[x]), int(right[y])
+            p, q = top(int(root[x])), top(int(root[y]))
+            if p != q:
+                above[p] = q
+                ends = sorted((keys[x], keys[y]))
+                a.append(ends[0])
+                b.append(ends[1])
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -243,16 +374,32 @@ def near_groups(docs: DataFrame) -> DataFrame:
     sets = stored(_sets_of(docs, near), "sets")
     links = stored(_confirmed(pairs, sets), "links")
     labels = stored(components(links), "labels")
-    labelled = near.drop("root").join(labels, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class")).drop("node")
+    labelled = classes.drop("root").join(labels, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class")).drop("node")
+    labelled = stored(labelled, "labelled-classes")
+    regions = stored(_open_regions(labelled), "regions")
+    small = _inside(labelled, regions.filter(F.col("rows") <= SMALL)).select("tree", "levels", "class", "n_shingles", "sketch", "root", "region")
     more = (
-        _orders(stored(labelled, "near-classes"))
+        small.repartition("tree", "region")
+        .sortWithinPartitions("tree", "levels", "class")
+        .drop("region")
         .mapInArrow(_crossing, "a binary, others array<binary>")
         .groupBy("a")
         .agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
         .select("a", F.explode("others").alias("b"))
         .join(pairs, ["a", "b"], "left_anti")
     )
+    more = stored(more, "candidates")
+    blocks = stored(_blocks(labelled, regions.filter(F.col("rows") > SMALL)), "blocks")
+    ends = more.select(F.explode(F.array("a", "b")).alias("end")).unionByName(blocks.select(F.col("class").alias("end"))).distinct()
+    known = sets.select(F.col("class").alias("_known"))
+    ends = stored(ends.join(known, F.col("end") == F.col("_known"), "left_anti"), "candidate-ends")
+    if not ends.isEmpty():
+        added = _sets_of(docs, classes.join(ends, F.col("class") == F.col("end"), "left_semi"))
+        sets = sets.unionByName(stored(added, "sets"))
     found = stored(_confirmed(more, sets), "links")
+    compared = blocks.join(sets.withColumnRenamed("class", "_class"), F.col("class") == F.col("_class")).drop("_class")
+    compared = compared.groupBy("tree", "region", "with_top", "i", "j").applyInArrow(_linked, "a binary, b binary")
+    found = found.unionByName(stored(compared.distinct(), "links"))
     labels = stored(components(links.unionByName(found)), "labels")
     lowest = stored(rows.groupBy("class").agg(F.min("doc_id").alias("low")), "lowest")
     labelled = lowest.join(labels, F.col("class") == F.col("node")).select("class", "root", "low")
