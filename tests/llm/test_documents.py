@@ -400,6 +400,18 @@ def test_contexts_of_seeds_discover_other_identifiers(spark):
     assert rows[50] == "id:16:28" and rows[51] == "" and rows[3].startswith("email:")
 
 
+def test_all_fixed_hits_are_seeds(spark):
+    names = ["jane", "john", "mary", "omar"]
+    cards = ["4111 1111 1111 1111", "5500 0000 0000 0004", "3400 0000 0000 009", "6011 0000 0000 0004"]
+    texts = [(k, f"{prose(k, 8)} mail me {n}.doe@example.com soon") for k, n in enumerate(names)]
+    texts += [(10 + k, f"{prose(k, 8)} call us +44 20 7946 09{k}8 soon") for k in range(4)]
+    texts += [(20 + k, f"{prose(k, 8)} card number {c} soon") for k, c in enumerate(cards)]
+    texts += [(50, "mail me ticket-77812"), (51, "call us ext-77812"), (52, "card number no-77812"), (53, "not mine no-77812")]
+    rows = {r.doc_id: r for r in pii.find(documents(spark, texts)).collect()}
+    assert all(rows[k].n_email == rows[10 + k].n_phone == rows[20 + k].n_card == 1 for k in range(4))
+    assert [rows[k].spans for k in range(50, 54)] == ["id:8:20", "id:8:17", "id:12:20", ""]
+
+
 # ---- empty tables ------------------------------------------------------------------------------------
 
 

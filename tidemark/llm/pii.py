@@ -1,7 +1,8 @@
 """Personal data by fixed forms and by bootstrapped contexts (operator 8); SQL functions only.
 
 One pass over the texts finds the four fixed kinds and all tokens that look like identifiers, with the words around them.
-From there on only these hits move. Hits of fixed kinds are the seeds. A *pattern* is the pair of words before a token.
+From there on only these hits move. All hits of fixed kinds that hold are the seeds, whatever signs they are made of. A
+*pattern* is the pair of words before the word that a seed or token begins in; without two such words there is none.
 Patterns and tokens form a graph that is scored in rounds: a pattern is worth the mean worth of the distinct tokens it
 occurs with, a token the worth of its best trusted pattern. Tokens after trusted patterns are reported as kind ``id``.
 """
@@ -26,22 +27,21 @@ FOUND = "id"
 KINDS = tuple(k for k, _ in FORMS) + (FOUND,)
 #: A token of six characters or more with a digit.
 TOKEN = r"(?<![^\x20\x09-\x0D])(?=[^0-9\x20\x09-\x0D]*+[0-9])[^\x20\x09-\x0D]{6,}+"
-CONTEXT = r"([^\x20\x09-\x0D]++)[\x20\x09-\x0D]++([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+$"
-#: Characters before a token in which its two words are looked for.
-CONTEXT_POINTS = 80
+CONTEXT = r"([^\x20\x09-\x0D]++)[\x20\x09-\x0D]++([^\x20\x09-\x0D]++)[\x20\x09-\x0D]++[^\x20\x09-\x0D]*+$"
+#: Characters before a seed or token in which its two words are looked for, and so many earlier hits that hold them: each
+#: has four characters at least.
+CONTEXT_POINTS, EARLIER = 80, 20
 #: Distinct seeds a pattern needs, the worth from which it is trusted, and rounds of scoring.
 SUPPORT, TRUST, ROUNDS = 3, 0.7, 3
 
 
 def _hits(text: Column, kind: int, form: str, present: Column) -> Column:
-    """All matches in order, each with the length of the gap before it, and for tokens the words before."""
+    """All matches in order, each with the length of the gap before it and the last characters of the gap."""
     gaps = F.split(text, form, -1)
     values = F.regexp_extract_all(text, F.lit(form), F.lit(0))
 
     def hit(value: Column, gap: Column) -> Column:
-        near = F.substring(gap, -CONTEXT_POINTS, CONTEXT_POINTS)
-        words = [F.regexp_extract(near, CONTEXT, k) for k in (1, 2)] if kind == len(FORMS) else [F.lit(""), F.lit("")]
-        before = F.lower(F.concat_ws(" ", *words)) if kind == len(FORMS) else F.lit("")
+        before = F.substring(gap, -CONTEXT_POINTS, CONTEXT_POINTS)
         return F.struct(F.lit(kind).alias("kind"), F.char_length(gap).alias("gap"), value.alias("value"), before.alias("before"))
 
     found = F.filter(F.zip_with(values, gaps, hit), lambda x: x["value"].isNotNull())
@@ -94,19 +94,24 @@ _HITS = "array<struct<kind:int,gap:int,value:string,before:string,place:int>>"
 
 
 def spans(rows: DataFrame) -> DataFrame:
-    """``row, kind, start, end, value, before`` of all hits that hold, in code points, and for tokens ``seed``: whether
-    they overlap a hit of a fixed kind."""
+    """``row, kind, start, end, value, before`` of all hits that hold, in code points, and ``seed``: whether they are
+    or overlap a hit of a fixed kind. ``before`` are the two words before, or empty."""
     each = rows.filter("hits is not null").select("row", F.explode("hits").alias("h")).select("row", "h.*")
     length = F.char_length("value")
     upto = Window.partitionBy("row", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + length).over(upto)
-    each = each.withColumn("end", end).withColumn("start", F.col("end") - length).filter(_holds())
+    earlier = F.collect_list(F.concat("before", F.substring("value", -CONTEXT_POINTS, CONTEXT_POINTS)))
+    earlier = earlier.over(Window.partitionBy("row", "kind").orderBy("place").rowsBetween(-EARLIER, -1))
+    near = F.substring(F.concat(F.array_join(earlier, ""), F.col("before")), -CONTEXT_POINTS, CONTEXT_POINTS)
+    each = each.withColumn("near", near).withColumn("end", end).withColumn("start", F.col("end") - length).filter(_holds())
     fixed = F.col("kind") < len(FORMS)
     order = Window.partitionBy("row").orderBy("start", F.desc("kind"))
     behind = F.max(F.when(fixed, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
     ahead = F.min(F.when(fixed, F.col("start"))).over(order.rowsBetween(0, Window.unboundedFollowing))
     meets = F.coalesce(behind > F.col("start"), F.lit(False)) | F.coalesce(ahead < F.col("end"), F.lit(False))
-    return each.select("row", "kind", "start", "end", "value", "before", meets.alias("seed"))
+    words = [F.regexp_extract("near", CONTEXT, k) for k in (1, 2)]
+    before = F.when(words[0] != "", F.lower(F.concat_ws(" ", *words))).otherwise("")
+    return each.select("row", "kind", "start", "end", "value", before.alias("before"), (fixed | meets).alias("seed"))
 
 
 def trusted_patterns(tokens: DataFrame, support: int = SUPPORT, trust: float = TRUST, rounds: int = ROUNDS) -> DataFrame:
@@ -136,13 +141,14 @@ def find(docs: DataFrame, support: int = SUPPORT, trust: float = TRUST, rounds:
 
     Needs ``doc_id`` and ``text``. The counts and the digest are those of the fixed kinds; ``spans`` adds kind ``id``,
     which overlaps none of them. Null and empty texts have no spans. Rows are told apart, so repeated rows give repeated
-    results. An empty table gives an empty result. Whole texts are searched; a token's context is at most 80 characters.
+    results. An empty table gives an empty result. Whole texts are searched; a context is at most 80 characters.
     """
     rows = stored(hits(docs), "hits")
     marked = stored(spans(rows), "spans")
-    tokens = marked.filter(F.col("kind") == len(FORMS))
-    patterns = trusted_patterns(tokens.select("value", "before", "seed"), support, trust, rounds).select(F.col("pattern").alias("_trusted"))
-    found = tokens.filter(~F.col("seed")).join(patterns, F.col("before") == F.col("_trusted"), "left_semi")
+    tokens = marked.filter((F.col("kind") == len(FORMS)) & ~F.col("seed"))
+    instances = marked.filter(F.col("kind") < len(FORMS)).unionByName(tokens)
+    patterns = trusted_patterns(instances.select("value", "before", "seed"), support, trust, rounds).select(F.col("pattern").alias("_trusted"))
+    found = tokens.join(patterns, F.col("before") == F.col("_trusted"), "left_semi")
     spot = F.struct("start", "kind", "end")
     every = marked.filter(F.col("kind") < len(FORMS)).unionByName(found)
     per_row = every.groupBy(F.col("row").alias("_row")).agg(F.sort_array(F.collect_list(spot)).alias("spots"))
