@@ -412,6 +412,14 @@ def test_all_fixed_hits_are_seeds(spark):
     assert [rows[k].spans for k in range(50, 54)] == ["id:8:20", "id:8:17", "id:12:20", ""]
 
 
+def test_tokens_without_two_words_before_form_no_pattern(spark):
+    texts = [(k, f"user{k}@mail.example.org {prose(k, 8)}") for k in range(8)]
+    texts += [(20 + k, f"desk 99-1230 user2{k}@mail.example.org {prose(k, 8)}") for k in range(8)]
+    texts += [(50, "covid-19 is over"), (51, "one two 2024-01-02 2024-01-03 three")]
+    rows = {r.doc_id: r.spans for r in pii.find(documents(spark, texts)).collect()}
+    assert rows[50] == rows[51] == "" and all("id:" not in s for s in rows.values())
+
+
 # ---- empty tables ------------------------------------------------------------------------------------
 
 
