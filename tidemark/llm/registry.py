@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bytebpe, exact, forest, hmm, minhash, mixing, pii, quality, urls, warc
+from tidemark.llm import bytebpe, exact, forest, hmm, minhash, mixing, pii, quality, resample, urls, warc
 from tidemark.llm.common import table
 
 
@@ -48,6 +48,10 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(table(spark, folder, "documents"))
 
 
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_hash_prefix_forest": op1_hash_prefix_forest,
     "op2_warc_transactions": op2_warc_transactions,
@@ -59,6 +63,7 @@ QUERIES = {
     "op8_contextual_pii": op8_contextual_pii,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 _BASE32 = "".join(
@@ -117,6 +122,32 @@ r AS (SELECT doc_id, doc_id AS root FROM n UNION SELECT r.doc_id, e.y FROM r JOI
 SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r.root) AS component_id, n.doc_id = min(r.root) AS kept
 FROM n JOIN r USING (doc_id) GROUP BY n.doc_id, n.n"""
 
+_RESAMPLE = r"""
+WITH RECURSIVE k AS (
+  SELECT i, i AS v, 0 AS step FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, step + 1 FROM k WHERE step < 8),
+crc AS (SELECT list(v ORDER BY i) AS tab FROM k WHERE step = 8),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS r FROM documents),
+e AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+f AS (SELECT r, unnest(w) AS f FROM d), g AS (SELECT unnest(w) AS f FROM e),
+c AS (SELECT f, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(CAST(strlen(f) AS BIGINT)),
+               lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT))),
+               lambda a, b: xor(a >> 8, tab[1 + (xor(a, b) & 255)]))) % 10000 AS b
+      FROM (SELECT f FROM f UNION SELECT f FROM g), crc),
+s AS (SELECT b, count(*) AS s FROM f JOIN c USING (f) GROUP BY b), t AS (SELECT b, count(*) AS t FROM g JOIN c USING (f) GROUP BY b),
+n AS (SELECT b, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * CAST((SELECT count(*) FROM f) + 10000 AS DOUBLE)
+                           / ((s + 1) * CAST((SELECT count(*) FROM g) + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (b)),
+m AS (SELECT r, sum(gain) AS total FROM f JOIN c USING (f) JOIN n USING (b) GROUP BY r),
+p AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(floor(CAST(total AS DOUBLE) / len(w)), 0) AS BIGINT) AS weight,
+             CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+      FROM d LEFT JOIN m USING (r)),
+q AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM p),
+o AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place,
+             count(*) OVER (PARTITION BY n_features >= 20) AS n FROM q)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= n * 10 // 100 THEN place END AS rank FROM o"""
+
 
 def _url_sql() -> str:
     host = r"translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -137,4 +168,11 @@ def _url_sql() -> str:
       SELECT page_id, {host} AS host, {path} AS path, CAST({strict} AS INTEGER) AS strict_hits, CAST({soft} AS INTEGER) AS soft_weight FROM pages))"""
 
 
-STATEMENTS = {"op2_warc_transactions": _WARC, "op3_url_filter": _url_sql(), "op5_minhash_forest": _NEAR, "op9_mixing": _MIX, "op10_exact_dedup": _EXACT}
+STATEMENTS = {
+    "op2_warc_transactions": _WARC,
+    "op3_url_filter": _url_sql(),
+    "op5_minhash_forest": _NEAR,
+    "op9_mixing": _MIX,
+    "op10_exact_dedup": _EXACT,
+    "op13_importance_resampling": _RESAMPLE,
+}
