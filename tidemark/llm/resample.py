@@ -31,12 +31,15 @@ def features(found: Column, run: int) -> Column:
     """All runs of 1 to ``run`` consecutive words, joined by one space."""
     if run == 1:
         return found
-    runs = [
-        F.transform(F.sequence(F.lit(1), F.size(found) - n + 1), lambda i, n=n: F.concat_ws(" ", F.slice(found, i, n)))
-        for n in range(1, run + 1)
-    ]
-    none = F.array().cast("array<string>")
-    return F.concat(*(F.when(F.size(found) >= n, part).otherwise(none) for n, part in enumerate(runs, 1)))
+
+    def runs(w: Column) -> Column:
+        def of(n: int) -> Column:
+            places = F.filter(F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0))), lambda i: i + n <= F.size(w))
+            return F.transform(places, lambda i: F.concat_ws(" ", *(F.get(w, i + k) for k in range(n))))
+
+        return F.concat(*(of(n) for n in range(1, run + 1)))
+
+    return F.get(F.transform(F.array(found), runs), F.lit(0))  # the words are found once, not once a run
 
 
 def bucket(feature: Column, buckets: int) -> Column:
