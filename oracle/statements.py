@@ -226,6 +226,19 @@ STATEMENTS |= {
     "stream_first": """SELECT order_id, lines, coalesce(quarantined, 0) AS quarantined
         FROM (SELECT order_id, count(*) AS lines FROM silver_order_items GROUP BY order_id)
         LEFT JOIN (SELECT order_id, count(*) AS quarantined FROM checked_order_items WHERE failed <> '' GROUP BY order_id) USING (order_id)""",
+    "ingest_odd_headers": """SELECT order_id, order_item_id, product_id, quantity, nullif(unit_price, '') AS unit_price, freight_value,
+        CASE WHEN _batch_id = 4 THEN _source_file END AS blank, CASE WHEN _batch_id = 4 THEN order_item_id END AS note7,
+        CASE WHEN _batch_id = 4 THEN quantity END AS Note8, CAST(CASE WHEN _batch_id <= 2 THEN 1 WHEN _batch_id <= 4 THEN _batch_id - 1 ELSE 4 END AS BIGINT) AS _batch_id
+        FROM raw_order_items""",
+    "ingest_malformed": """SELECT order_id, status, lsn, CASE WHEN status = 'lost' THEN 't-' || lsn END AS trace, NULL AS corrupt_record, 2 AS _batch_id FROM raw_orders
+        UNION ALL SELECT NULL, NULL, NULL, NULL, line, load FROM (
+          SELECT left('{"order_id":"' || order_id || '","customer_id":"' || customer_id || '"', 30) AS line, unnest([1, 2]) AS load FROM raw_orders WHERE order_id LIKE '%7')
+        WHERE load = 2 OR line LIKE '%77%'""",
+    # files do not carry the feed's own arrival time: the first load wins, then the lowest values
+    "merge_increments": f"""SELECT {_LINE} FROM checked_order_items WHERE failed = ''
+        QUALIFY row_number() OVER (PARTITION BY order_id, order_item_id ORDER BY least(_batch_id, 6), product_id, quantity,
+                                   checked_order_items.unit_price, checked_order_items.freight_value) = 1""",
+    "compacted_log": "SELECT customer_id, city, lsn, lsn // 10 % 10 + 1 AS _batch_id FROM checked_customers WHERE failed = ''",
     "stream_dedupe": STATEMENTS["dedupe_first_clicks"],
     "stream_run": _RUN,
     "envelope_decode": """SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS session_id, event_type,

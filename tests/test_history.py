@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.dedupe import by_arrival, latest_state, latest_values
 from tidemark.operators.history import HistorySpec, apply_changes, build_history, empty_history, from_bounds
+from tidemark.operators.ranges import RANGE, in_ranges
 from tidemark.operators.rules import flag_known
-from tidemark.operators.slices import with_slices
 
 CHANGES = "customer_id string, city string, op string, change_ts timestamp_ntz, lsn long"
 SPEC = HistorySpec("customer_id", ("city",))
@@ -134,25 +134,37 @@ def brute_force(events):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("rows_per_slice", [1, 3, 10, 1000])
-def test_sliced_history_equals_a_plain_loop(spark, rows_per_slice):
+@pytest.mark.parametrize("ranges", [1, 3, 40, 300, None])
+def test_history_in_ranges_equals_a_plain_loop(spark, ranges):
     rng = random.Random(7)
     events = []
     for lsn in range(600):  # key H holds half of all rows, in bursts
         key = "H" if rng.random() < 0.5 else f"K{rng.randrange(40)}"
         at = day(1) + dt.timedelta(seconds=rng.choice([rng.randrange(50), rng.randrange(100_000)]))
         events.append((key, rng.choice(["A", "B", None]), rng.choice("UUUD"), at, lsn))
-    history = build_history(spark.createDataFrame(events, CHANGES).repartition(5), SPEC, rows_per_slice)
+    history = build_history(spark.createDataFrame(events, CHANGES).repartition(5), SPEC, ranges)
     found = rows(history, "customer_id", "city", "is_deleted", "effective_from", "effective_to")
     assert found == brute_force(events)
 
 
-def test_slices_hold_equally_many_rows_of_a_bursty_key(spark):
-    at = [(day(1) + dt.timedelta(microseconds=n) if n < 1990 else day(2) + dt.timedelta(hours=n),) for n in range(2000)]
-    frame = spark.createDataFrame([("H", *a) for a in at] + [("C", day(1))], "k string, at timestamp_ntz")
-    sizes = with_slices(frame, ["k"], "at", rows_per_slice=100).groupBy("k", "_slice").count().collect()
-    assert {r["count"] for r in sizes if r.k == "C"} == {1} and {r["_slice"] for r in sizes if r.k == "C"} == {0}
-    assert len(sizes) == 21 and max(r["count"] for r in sizes) <= 200
+def test_ranges_are_even_whatever_the_keys(spark):
+    """Nine of ten rows have one key, most of them within two seconds."""
+    at = "timestampadd(MICROSECOND, IF(id % 10 = 0, id * 1000000, id), timestamp_ntz'2026-09-01 00:00:00')"
+    frame = spark.range(40_000, numPartitions=6).selectExpr("IF(id % 10 = 3, concat('K', id), 'H') AS k", f"{at} AS at", "id")
+    laid = in_ranges(frame, ["k", "at"], "even", ranges=16)
+    sizes = [r["count"] for r in laid.rows.groupBy(RANGE).count().collect()]
+    assert laid.count == len(sizes) == 16 and sum(sizes) == 40_000 and max(sizes) <= 2 * 40_000 / 16
+    tasks = [r["count"] for r in laid.dealt().groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sorted(tasks) == sorted(sizes)
+
+
+def test_windows_of_a_history_need_no_shuffle_of_their_own(spark):
+    frame = spark.range(1000).selectExpr("concat('C', id % 7) AS customer_id", "concat('x', id % 3) AS city", "'U' AS op",
+                                         "timestampadd(HOUR, id, timestamp_ntz'2026-09-01 00:00:00') AS change_ts", "id AS lsn")
+    plan = build_history(frame, SPEC, ranges=5)._jdf.queryExecution().executedPlan().toString()
+    data = [line for line in plan.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+    # one move of the events; the others hold one row a range
+    assert len(data) <= 3 and sum("REPARTITION_BY_NUM" in line for line in data) == 1
 
 
 def test_a_hot_key_of_the_known_key_test_is_split(spark):
@@ -172,12 +184,12 @@ def test_a_hot_key_of_the_known_key_test_is_split(spark):
             spark.conf.unset(k)
 
 
-def test_slices_follow_time_in_a_zone_with_clock_changes(spark):
+def test_ranges_follow_time_in_a_zone_with_clock_changes(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         start = dt.datetime(2026, 3, 7, 23)
         events = [("C1", "AB"[n % 2], "U", start + dt.timedelta(minutes=10 * n), n) for n in range(60)]
-        history = build_history(spark.createDataFrame(events, CHANGES), SPEC, rows_per_slice=4)
+        history = build_history(spark.createDataFrame(events, CHANGES), SPEC, ranges=15)
         assert rows(history, "customer_id", "city", "is_deleted", "effective_from", "effective_to") == brute_force(events)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")

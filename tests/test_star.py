@@ -18,22 +18,22 @@ FACTS = "order_id string, product_id string, ts timestamp_ntz"
 MONEY = "decimal(12,2)"
 
 
-@pytest.mark.parametrize("rows_per_slice", [1, 10_000])
-def test_as_of_join_picks_the_version_valid_at_the_time(spark, rows_per_slice):
+@pytest.mark.parametrize("ranges", [1, 12, None])
+def test_as_of_join_picks_the_version_valid_at_the_time(spark, ranges):
     dim = spark.createDataFrame([("P1", "old", day(1), day(10)), ("P1", "new", day(10), None), ("P2", "gone", day(1), day(2))], VERSIONS)
     fact = spark.createDataFrame(
         [("O1", "P1", day(5)), ("O2", "P1", day(10)), ("O3", "P9", day(5)), ("O4", "P1", day(0)), ("O5", None, day(5)), ("O6", "P1", None), ("O7", "P2", day(2))],
         FACTS,
     )
-    out = as_of_join(fact, dim, "product_id", "ts", "product_sk", rows_per_slice)
+    out = as_of_join(fact, dim, "product_id", "ts", "product_sk", ranges)
     assert rows(out, "order_id", "product_sk") == [
         ("O1", "old"), ("O2", "new"), ("O3", "-1"), ("O4", "-1"), ("O5", "-1"), ("O6", "-1"), ("O7", "-1"),
     ]
     assert out.columns == ["order_id", "product_id", "ts", "product_sk"]
 
 
-@pytest.mark.parametrize("rows_per_slice", [2, 17, 10_000])
-def test_as_of_join_equals_a_plain_loop_with_a_hot_key(spark, rows_per_slice):
+@pytest.mark.parametrize("ranges", [2, 17, 500, None])
+def test_as_of_join_equals_a_plain_loop_with_a_hot_key(spark, ranges):
     rng = random.Random(3)
     moments = sorted(rng.sample(range(5000), 300))
     versions = [("H", f"h{n}", day(1) + dt.timedelta(seconds=a), day(1) + dt.timedelta(seconds=b)) for n, (a, b) in enumerate(zip(moments, moments[1:])) if n % 5]
@@ -45,10 +45,24 @@ def test_as_of_join_equals_a_plain_loop_with_a_hot_key(spark, rows_per_slice):
         assert len(valid) <= 1
         expected.append((order, valid[0] if valid else "-1"))
     fact, dim = spark.createDataFrame(facts, FACTS), spark.createDataFrame(versions, VERSIONS)
-    out = as_of_join(fact, dim, "product_id", "ts", "product_sk", rows_per_slice)
+    out = as_of_join(fact, dim, "product_id", "ts", "product_sk", ranges)
     assert rows(out, "order_id", "product_sk") == sorted(expected, key=repr)
 
 
+def test_as_of_join_moves_its_rows_once_and_splits_hot_keys_and_times(spark):
+    """Nine of ten facts ask for one key, half of them at one time; the largest task holds at most twice the mean."""
+    at = "timestampadd(SECOND, IF(id % 2 = 0, 500, id % 1000), timestamp_ntz'2026-09-01 00:00:00')"
+    fact = spark.range(30_000, numPartitions=5).selectExpr("concat('O', id) AS order_id", "IF(id % 10 = 3, concat('K', id), 'H') AS product_id", f"{at} AS ts")
+    dim = spark.createDataFrame([("H", f"h{n}", day(1) + dt.timedelta(seconds=n), day(1) + dt.timedelta(seconds=n + 1)) for n in range(1000)], VERSIONS)
+    out = as_of_join(fact, dim, "product_id", "ts", "product_sk", ranges=10)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange" in line and "BroadcastExchange" not in line for line in plan.splitlines()) <= 3  # and one when they were written
+    tasks = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(tasks) == 10 and sum(tasks) == 30_000 and max(tasks) <= 2 * 3000
+    expected = fact.selectExpr("order_id", "IF(product_id = 'H', concat('h', timestampdiff(SECOND, timestamp_ntz'2026-09-01 00:00:00', ts)), '-1') AS product_sk")
+    assert out.select("order_id", "product_sk").exceptAll(expected).count() == 0
+
+
 def test_union_of_drifting_frames_and_group_maximum(spark):
     old = spark.createDataFrame([("a", 1)], "k string, n int")
     new = spark.createDataFrame([("a", 3, "x"), ("a", 3, "y"), ("b", 2, "z")], "k string, n int, w string")

@@ -16,6 +16,7 @@ from tidemark.plans import gate, gold, silver
 from tidemark.plans.retail import BY_NAME, CLICKSTREAM, CUSTOMERS, INVENTORY, ORDER_ITEMS, ORDERS
 from tidemark.sources.envelope import decode_envelope
 from tidemark.sources.landing import by_header, landing_files, read_landing
+from tidemark.sources.manifest import HELD, Files
 from tidemark.sources.tables import BUCKET, Tables, run_folder, shared_folder
 from tidemark.streaming import entities
 from tidemark.streaming.clicks import LateRows, start_unique_events, unique_events
@@ -79,7 +80,7 @@ def test_a_feed_without_folder_is_skipped(spark, tables, tmp_path):
 
 def test_a_replayed_load_replaces_itself(spark, tables, tmp_path):
     file = put(tmp_path / "f", "a.csv", "order_id,order_item_id,product_id,quantity,unit_price,freight_value\nO1,1,P1,1,5.00,0\nO2,1,P1,1,N/A,0\n")
-    tables.write(spark.createDataFrame([("P1",)], "product_id string"), "silver_products_log")
+    tables.write(spark.createDataFrame([("P1",)], "product_id string"), "silver_products")
     for _ in range(2):
         ingest_files(tables, "order_items", "csv", [file], 1)
         done = entities.process_batch(tables, ORDER_ITEMS, 1)
@@ -87,7 +88,7 @@ def test_a_replayed_load_replaces_itself(spark, tables, tmp_path):
         assert tables.bronze("order_items").count() == 2
         assert tables.read("silver_order_items_quarantine").count() == 1
         assert tables.read("silver_order_items").count() == 1
-    assert tables.watermark("silver_order_items") == 1
+    assert tables.reached("silver_order_items") == 1
 
 
 def test_a_crash_between_the_writes_is_repaired_by_the_next_run(spark, tables, tmp_path, monkeypatch):
@@ -103,7 +104,7 @@ def test_a_crash_between_the_writes_is_repaired_by_the_next_run(spark, tables, t
     monkeypatch.setattr(entities, "publish", fail)
     with pytest.raises(RuntimeError):
         entities.catch_up(tables, ORDERS)
-    assert tables.watermark("silver_orders") == 0
+    assert tables.reached("silver_orders") == 0
     monkeypatch.setattr(entities, "publish", real)
     assert len(entities.catch_up(tables, ORDERS)) == 1 and entities.catch_up(tables, ORDERS) == []
     assert tables.read("silver_orders_quarantine").count() == 1
@@ -144,14 +145,82 @@ def test_a_crash_inside_the_stream_is_repaired_by_its_replay(spark, tables, tmp_
 
 def test_only_touched_buckets_are_rewritten(spark, tables):
     schema = "k string, v int"
-    tables.publish(spark.createDataFrame([(f"k{n}", 1) for n in range(40)], schema), "t", ["k"])
-    stamps = {d.name: d.stat().st_mtime_ns for d in os.scandir(tables.path("t")) if d.is_dir()}
-    assert len(stamps) == 4
+    tables.publish(spark.createDataFrame([(f"k{n}", 1) for n in range(40)], schema), "t", ["k"], reached=3)
+    folders = {e.bucket: e.folder for e in tables.manifest("t").entries("bucket")}
+    assert len(folders) == 4
     one = tables.read("t").where(f"{BUCKET} = 2").select("k", F.lit(2).alias("v"))
-    tables.publish(one, "t", ["k"])  # a read of the table itself is allowed
-    after = {d.name: d.stat().st_mtime_ns for d in os.scandir(tables.path("t")) if d.is_dir()}
-    assert [name for name in stamps if stamps[name] != after[name]] == [f"{BUCKET}=2"]
+    tables.publish(one, "t", ["k"])  # a table may be made from its own rows
+    after = {e.bucket: e.folder for e in tables.manifest("t").entries("bucket")}
+    assert [b for b in folders if folders[b] != after[b]] == [2]
     assert tables.read("t").count() == 40 and tables.read("t").where("v = 2").count() > 0
+    assert tables.buckets_of("t", [2]).where("v = 1").count() == 0 and tables.buckets_of("t", [9]) is None
+    assert tables.reached("t") == 3  # the mark only moves on
+
+
+def test_a_reader_keeps_its_state_and_old_folders_go(spark, tables):
+    def write(n):
+        tables.publish(spark.range(100).selectExpr("concat('k', id) AS k", f"{n} AS v"), "t", ["k"])
+
+    write(0)
+    reader = tables.read("t")
+    for n in range(1, HELD):
+        write(n)
+        assert reader.where("v = 0").count() == 100  # planned before, still whole
+    for n in range(HELD, 12):
+        write(n)
+    assert tables.read("t").where("v = 11").count() == 100
+    files = Files(spark)
+    folders = [f for f in files.names(tables.path("t")) if files.names(f"{tables.path('t')}/{f}")]
+    assert len(folders) <= HELD and len(files.names(tables.path("t_manifest"))) <= 2 * HELD  # each with a checksum file, if local
+
+
+def test_a_list_cut_short_is_not_read_and_two_writers_cannot_share_a_number(spark, tables):
+    tables.reach("t", 5)
+    manifest = tables.manifest("t")
+    manifest.files.create(f"{manifest.path}/2.json", '[{"kind": "ma')
+    assert tables.reached("t") == 5
+    tables.reach("t", 6)
+    assert tables.reached("t") == 6
+    with pytest.raises(Exception, match="exist"):
+        manifest.files.create(f"{manifest.path}/3.json", "[]")
+
+
+def test_a_log_is_compacted_in_levels(spark, tables):
+    def add(load, rows_=3):
+        frame = spark.range(rows_).selectExpr(f"concat('k', id) AS k", f"{load} AS n")
+        tables.write_log(frame, "log", load, ["k"])
+
+    most = 0
+    for load in range(1, 31):
+        add(load, 0 if load == 7 else 3)
+        tables.compact("log", upto=load, fan=3)
+        most = max(most, len(tables.manifest("log").entries("loads")))
+    assert most <= 2 * 4  # fewer than `fan` folders on each level
+    assert rows(tables.log("log"), "n", "_batch_id") == sorted([(n, n) for n in range(1, 31) if n != 7 for _ in range(3)], key=repr)
+    assert rows(tables.log("log", after=28), "n") == [(29,)] * 3 + [(30,)] * 3
+    assert rows(tables.log("log", loads=[4, 7, 30]), "n") == [(30,)] * 3 + [(4,)] * 3
+    assert tables.log("log", after=30) is None and tables.log("none") is None
+    with pytest.raises(ValueError, match="compacted"):
+        add(2)
+    add(31), add(32)
+    add(31, 5)  # a repeated load replaces itself
+    assert tables.log("log", after=30).count() == 8 and tables.compact("log", upto=0, fan=3) == 0
+
+
+def test_a_merge_reads_present_rows_and_new_ones_whatever_the_log(spark, tables, tmp_path):
+    """The same order lines are delivered eight times over: the log grows, the rows read by a merge do not."""
+    lines = "".join(f"O{n},1,P1,1,5.00,0\n" for n in range(50))
+    tables.write(spark.createDataFrame([("P1",)], "product_id string"), "silver_products")
+    read = []
+    for load in range(1, 9):
+        ingest_files(tables, "order_items", "csv", [put(tmp_path / "f", f"{load}.csv", HEADERS["order_items"] + lines)], load)
+        entities.load_batch(tables, ORDER_ITEMS, load)
+        log, touched = "silver_order_items_log", tables.touched_buckets("silver_order_items_log", [load])
+        present = tables.buckets_of("silver_order_items", touched)
+        read.append((present.count() if present is not None else 0) + tables.log(log, loads=[load]).count())
+        entities.publish(tables, ORDER_ITEMS, [load])
+        assert tables.read("silver_order_items").count() == 50 and tables.read("silver_order_items").where("_batch_id = 1").count() == 50
+    assert read == [50] + [100] * 7 and tables.log("silver_order_items_log").count() == 400
 
 
 def test_whole_tables_and_missing_ones(spark, tables):

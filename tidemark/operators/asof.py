@@ -3,54 +3,57 @@
 Validity is half-open ``[effective_from, effective_to)``, an open end means for ever, and a fact without a
 version gets the unknown member. Versions of one key must not overlap, as in :mod:`history`.
 
-The distinct ``(key, time)`` pairs of the facts and the starts of the versions form one time-ordered stream per key; one
-pass carries the last version forward. Work grows with pairs + versions, never with their product, and hot keys are
-cut into time slices. The answers are joined back to the facts on key and time, so neither a hot key nor a time that
-many facts share puts facts into one task.
+Facts and starts of versions form one stream in the order of key and time, cut into ranges; one pass carries the last
+version forward, and each range is told the last version before it. Work grows with facts + versions, never
+with their product. Neither a hot key nor a time that many facts share puts facts into one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.operators.slices import ROWS_PER_SLICE, SLICE, with_slices
+from tidemark.operators.ranges import RANGE, Ranges, in_order, in_ranges
 
 UNKNOWN = "-1"  # fixed value: surrogate key of the unknown member
+ORDER = ["_key", "_at", "_asks", "_salt"]
 
 
-def as_of_join(
-    fact: DataFrame, dim: DataFrame, key: str, at: str, surrogate: str, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
+def as_of_join(fact: DataFrame, dim: DataFrame, key: str, at: str, surrogate: str, ranges: int | None = None) -> DataFrame:
     """Add ``surrogate`` of the version of ``key`` valid at ``at``; a fact without key or time has none."""
-    answers = versions_at(fact.select(key, at), dim, key, at, surrogate, rows_per_slice)
-    answers = answers.withColumnsRenamed({key: "_key", at: "_moment"})
-    joined = fact.join(answers, (fact[key] == answers["_key"]) & (fact[at] == answers["_moment"]), "left")
-    return joined.select(*(fact[c] for c in fact.columns), F.coalesce(answers[surrogate], F.lit(UNKNOWN)).alias(surrogate))
-
-
-def versions_at(
-    moments: DataFrame, dim: DataFrame, key: str, at: str, surrogate: str, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
-    """``key, at, surrogate`` for each distinct moment at which a version is valid."""
-    asked = moments.where(F.col(key).isNotNull() & F.col(at).isNotNull()).distinct()
-    asked = asked.select(key, F.col(at).alias("_at"), F.lit(1).alias("_asks"))
+    asked = fact.select(
+        F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_asks"), _salt(fact).alias("_salt"), F.struct("*").alias("_fact")
+    )
     version = F.struct(F.col(surrogate).alias("found"), F.col("effective_to").alias("until"))
-    starts = dim.where(F.col(key).isNotNull()).select(key, F.col("effective_from").alias("_at"), F.lit(0).alias("_asks"), version.alias("_version"))
-    stream = with_slices(asked.unionByName(starts, allowMissingColumns=True), [key], "_at", rows_per_slice)
-    # A version that starts at the moment itself sorts before it, hence applies.
-    so_far = Window.partitionBy(key, SLICE).orderBy("_at", "_asks").rowsBetween(Window.unboundedPreceding, 0)
-    swept = stream.withColumn("_last", F.last("_version", ignorenulls=True).over(so_far)).where("_asks = 1")
-    swept = swept.join(_carried_versions(stream, key), [key, SLICE], "left").withColumn("_last", F.coalesce("_last", "_carried"))
-    valid = F.col("_last").isNotNull() & (F.col("_last.until").isNull() | (F.col("_at") < F.col("_last.until")))
-    return swept.where(valid).select(key, F.col("_at").alias(at), F.col("_last.found").alias(surrogate))
-
-
-def _carried_versions(stream: DataFrame, key: str) -> DataFrame:
-    """For each slice of a hot key, the last version that started in an earlier slice."""
-    started = F.when(F.col("_asks") == 0, F.col("_at"))
-    summary = (
-        stream.where(F.col(SLICE) > 0).groupBy(key, SLICE).agg(F.max_by("_version", started).alias("_last_version"))
+    starts = dim.where(F.col(key).isNotNull() & F.col("effective_from").isNotNull()).select(
+        F.col(key).alias("_key"),
+        F.col("effective_from").alias("_at"),
+        F.lit(0).alias("_asks"),
+        F.xxhash64(surrogate).alias("_salt"),
+        version.alias("_version"),
     )
-    earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    return summary.select(key, SLICE, F.last("_last_version", ignorenulls=True).over(earlier).alias("_carried"))
+    # A version that starts at the moment itself sorts before it, hence applies.
+    stream = in_ranges(asked.unionByName(starts, allowMissingColumns=True), ORDER, "as-of", ranges)
+    so_far = Window.partitionBy(RANGE, "_key").orderBy(*ORDER[1:]).rowsBetween(Window.unboundedPreceding, 0)
+    swept = stream.dealt().withColumn("_last", F.last("_version", ignorenulls=True).over(so_far)).where("_asks = 1")
+    told = swept.join(F.broadcast(_versions_before(stream)), RANGE)  # one row a range
+    last = F.coalesce("_last", F.when(F.col("_before.key") == F.col("_key"), F.col("_before.version")))
+    valid = F.col("_last.until").isNull() | (F.col("_at") < F.col("_last.until"))
+    found = F.coalesce(F.when(valid, F.col("_last.found")), F.lit(UNKNOWN))
+    return told.withColumn("_last", last).select("_fact.*", found.alias(surrogate))
+
+
+def _salt(fact: DataFrame) -> Column:
+    """Tells facts of one key and time apart, the same for a row however often its task runs."""
+    hashable = [f.name for f in fact.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*hashable)
+
+
+def _versions_before(stream: Ranges) -> DataFrame:
+    """For each range, the last version before it with its key."""
+    started = F.when(F.col("_version").isNotNull(), F.struct("_key", "_at", "_salt"))
+    last = F.max_by(F.struct(F.col("_key").alias("key"), F.col("_version").alias("version")), started)
+    ends = stream.rows.groupBy(RANGE).agg(last.alias("_last"))
+    earlier = in_order().rowsBetween(Window.unboundedPreceding, -1)
+    return ends.select(RANGE, F.last("_last", ignorenulls=True).over(earlier).alias("_before"))

@@ -51,12 +51,12 @@ def lineage_columns(df: DataFrame) -> list[str]:
 
 
 def raw_values(df: DataFrame) -> Column:
-    """The untouched source values as a map of column name to text (B1).
+    """The untouched source values as a map of column name to text (B1), malformed lines and ``_`` fields included.
 
     A map keeps its type when a feed gains columns; a struct would widen (S7).
     """
     pairs: list[Column] = []
-    for name in business_columns(df):
+    for name in (c for c in df.columns if c not in LINEAGE):
         pairs += [F.lit(name), F.col(name).cast("string")]
     return F.create_map(*pairs)
 

@@ -124,8 +124,8 @@ def scd2_events(lake: Lake) -> DataFrame:
 
 
 def scd2_sliced(lake: Lake) -> DataFrame:
-    """The same with users cut into time slices, as keys too large for one task are."""
-    return _without_lineage(build_history(lake.source("events"), EVENT_HISTORY, rows_per_slice=50))
+    """The same in many ranges, most users continuing from one into the next."""
+    return _without_lineage(build_history(lake.source("events"), EVENT_HISTORY, ranges=100))
 
 
 def _bursts(lake: Lake) -> DataFrame:
@@ -136,8 +136,8 @@ def _bursts(lake: Lake) -> DataFrame:
 
 
 def scd2_bursty(lake: Lake) -> DataFrame:
-    """G1 where most events of a user fall on one day and users are cut into slices."""
-    return _without_lineage(build_history(_bursts(lake), EVENT_HISTORY, rows_per_slice=20))
+    """G1 where most events of a user fall on one day, in many ranges."""
+    return _without_lineage(build_history(_bursts(lake), EVENT_HISTORY, ranges=100))
 
 
 def asof_bursty(lake: Lake) -> DataFrame:
@@ -146,7 +146,7 @@ def asof_bursty(lake: Lake) -> DataFrame:
     versions = history.withColumn("version_sk", surrogate_key("user_id", timestamp_text("effective_from")))
     at = F.timestamp_add("MINUTE", F.lit(-30), F.col("ts"))
     probes = _bursts(lake).select("event_id", "user_id", at.alias("probed_at"))
-    return as_of_join(probes, versions, "user_id", "probed_at", "version_sk", rows_per_slice=20)
+    return as_of_join(probes, versions, "user_id", "probed_at", "version_sk", ranges=100)
 
 
 def scd2_late(lake: Lake) -> DataFrame:
@@ -174,14 +174,14 @@ def _event_probes(lake: Lake) -> DataFrame:
 
 
 def asof_hash(lake: Lake) -> DataFrame:
-    """D2 with whole keys."""
+    """D2 in as many ranges as the session has shuffle partitions."""
     return as_of_join(_event_probes(lake), _event_versions(lake), "user_id", "probed_at", "version_sk")
 
 
 def asof_sweep(lake: Lake) -> DataFrame:
-    """D2 with keys cut into time slices."""
+    """D2 in many ranges, each told the last version before it."""
     probes, versions = _event_probes(lake), _event_versions(lake)
-    return as_of_join(probes, versions, "user_id", "probed_at", "version_sk", rows_per_slice=100)
+    return as_of_join(probes, versions, "user_id", "probed_at", "version_sk", ranges=100)
 
 
 def keys_of_products(lake: Lake) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.rules import quarantined
 from tidemark.plans import reports, silver, star
 from tidemark.plans.retail import BY_NAME, Entity
-from tidemark.sources.tables import BATCH, BRONZE_LINEAGE, BUCKET, Tables
+from tidemark.sources.tables import BRONZE_LINEAGE, BUCKET, Tables
 
 FACT = "gold_fact_order_items"
 MONTH = "fact_month"
@@ -98,11 +98,16 @@ def touched_months(tables: Tables) -> list[int] | None:
     of a dimension key touches its facts from the event's time on: earlier facts keep their version.
     """
     fact = tables.find(FACT)
-    if fact is None or MONTH not in fact.columns or any(tables.watermark(f"gold_{name}") == 0 for name in STAR_SOURCES):
+    if fact is None or MONTH not in fact.columns or any(tables.reached(f"gold_{name}") == 0 for name in STAR_SOURCES):
         return None
 
     def fresh(name: str) -> DataFrame:
-        return tables.log(f"silver_{name}_log").where(F.col(BATCH) > tables.watermark(f"gold_{name}"))
+        """Accepted rows of loads that gold does not hold; an empty table where there are none."""
+        found = tables.log(f"silver_{name}_log", after=tables.reached(f"gold_{name}"))
+        if found is not None:
+            return found
+        entity = BY_NAME[name]
+        return silver.accepted_rows(entity, _empty_checked(tables.spark, entity))
 
     def first_change(name: str, key: str) -> DataFrame:
         return fresh(name).groupBy(key).agg(F.min("change_ts").alias("_since"))
@@ -125,11 +130,11 @@ def build_gold(tables: Tables, full: bool = False) -> list[dict]:
 
     The marks of what gold contains are read before and set after the build, so a build that died is done again.
     """
-    reached = {name: tables.watermark(f"silver_{name}") for name in STAR_SOURCES}
+    reached = {name: tables.reached(f"silver_{name}") for name in STAR_SOURCES}
     months = None if full else touched_months(tables)
     written = [*build_star(tables, months), *build_aggregates(tables, months)]
     if tables.read(FACT).where(F.col(MONTH).isNotNull()).limit(1).count():
         for name, batch_id in reached.items():
-            if batch_id > tables.watermark(f"gold_{name}"):
-                tables.set_watermark(f"gold_{name}", batch_id)
+            if batch_id > tables.reached(f"gold_{name}"):
+                tables.reach(f"gold_{name}", batch_id)
     return written

@@ -11,12 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.conform import business_columns
+from tidemark.operators.conform import business_columns, raw_values
 from tidemark.plans.lake import Lake
 from tidemark.plans.reports import serve_events_by_type
 from tidemark.plans.retail import BY_NAME, CLICKSTREAM, CUSTOMERS, INVENTORY, ORDER_ITEMS, ORDERS, PRODUCTS, Entity
 from tidemark.sources.envelope import decode_envelope
 from tidemark.sources.landing import landing_files, read_landing
+from tidemark.sources.manifest import Files
 from tidemark.sources.tables import BUCKET, Tables, run_folder
 from tidemark.streaming.clicks import start_unique_events
 from tidemark.streaming.entities import catch_up, start_entity
@@ -71,6 +72,60 @@ def ingest_once(lake: Lake) -> DataFrame:
     return site.tables.bronze(ORDER_ITEMS.feed).select(*columns, "channel", "_batch_id")
 
 
+def _land_text(site: Site, entity: Entity, part: str, lines: DataFrame, header: str | None = None, files: int = 4) -> None:
+    """Land a frame of text ``value`` as files, each with ``header`` as its first line."""
+    dealt = lines.withColumns({"_file": F.pmod(F.xxhash64("value"), F.lit(files)).cast("int"), "_place": F.lit(1)})
+    if header is not None:
+        first = site.lake.spark.range(files).select(F.lit(header).alias("value"), F.col("id").cast("int").alias("_file"), F.lit(0).alias("_place"))
+        dealt = dealt.unionByName(first)
+    ordered = dealt.repartitionById(files, "_file").sortWithinPartitions("_file", "_place").select("value")
+    folder = f"{site.landing}/{entity.feed}/{part}"
+    ordered.write.text(folder)
+    names = Files(site.lake.spark)
+    for name in names.names(folder):  # the feed's files carry its extension
+        if name.endswith(".txt"):
+            names.rename(f"{folder}/{name}", f"{folder}/{name.removesuffix('.txt')}.{entity.fmt}")
+
+
+def ingest_odd_headers(lake: Lake) -> DataFrame:
+    """Order lines under headers in another case, with a blank name, and with a name given twice."""
+    site = Site(lake, "odd-headers")
+    rows = lake.raw("order_items")
+    columns = business_columns(rows)
+    shouted = ",".join(c.upper() for c in columns)
+    parts = {
+        "_batch_id <= 2": (",".join(columns), columns),
+        "_batch_id = 3": (shouted, columns),
+        "_batch_id = 4": (f"{shouted},,note,Note", [*columns, "_source_file", "order_item_id", "quantity"]),
+        "_batch_id > 4": (",".join(reversed(columns)), [*reversed(columns)]),
+    }
+    for number, (condition, (header, sent)) in enumerate(parts.items(), 1):
+        values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sent]
+        _land_text(site, ORDER_ITEMS, f"part-{number}", rows.where(condition).select(F.concat_ws(",", *values).alias("value")), header)
+        site.ingest(ORDER_ITEMS)
+    return site.tables.bronze(ORDER_ITEMS.feed).select(*columns, F.col("_c6").alias("blank"), "note7", "Note8", "_batch_id")
+
+
+def ingest_malformed(lake: Lake) -> DataFrame:
+    """A3 and B1: order changes among lines that are no JSON and rows with a ``_`` field; the first load holds bad lines only.
+
+    Returns the raw values as quarantine would keep them.
+    """
+    site = Site(lake, "malformed")
+    rows = lake.raw("orders")
+    sent = rows.select(*business_columns(rows)).withColumn("_trace", F.when(F.col("status") == "lost", F.concat(F.lit("t-"), "lsn")))
+    lines = sent.select(F.to_json(F.struct("*")).alias("value"), F.col("order_id").alias("id"))
+    cut = lines.where("id LIKE '%7'").select(F.expr("left(value, 30)").alias("value"))
+    _land_text(site, ORDERS, "bad", cut.where("value LIKE '%77%'"))
+    site.ingest(ORDERS)
+    _land_text(site, ORDERS, "all", lines.select("value").unionByName(cut))
+    site.ingest(ORDERS)
+    raw = raw_values(site.tables.bronze(ORDERS.feed))
+    kept = site.tables.bronze(ORDERS.feed).select("_batch_id", raw.alias("raw"))
+    names = ("order_id", "status", "lsn", "_trace", "_corrupt_record")
+    return kept.select(*(F.col("raw")[n].alias(n.removeprefix("_")) for n in names), "_batch_id")
+
+
 def ingest_log(lake: Lake) -> DataFrame:
     """Rows and loads according to the lineage columns."""
     site = Site(lake, "ingest-log")
@@ -139,6 +194,33 @@ def backlog_run(lake: Lake) -> DataFrame:
     return site.tables.read("silver_order_items").groupBy("order_id").agg(F.count("*").alias("lines"))
 
 
+def merge_increments(lake: Lake) -> DataFrame:
+    """Order lines in six loads, each merged into the present rows of the buckets it touches.
+
+    The load decides which of several lines of one key came first, then the lowest values.
+    """
+    site = Site(lake, "increments")
+    site.land(PRODUCTS, lake.raw("products"), "all")
+    site.refresh(PRODUCTS)
+    rows = lake.raw("order_items")
+    for part in range(1, 7):
+        site.land(ORDER_ITEMS, rows.where("_batch_id >= 6" if part == 6 else f"_batch_id = {part}"), f"part-{part}")
+        site.refresh(ORDER_ITEMS)
+    return _kept(site, ORDER_ITEMS)
+
+
+def compacted_log(lake: Lake) -> DataFrame:
+    """Customer changes in ten loads, the accepted log compacted after the fifth and the last; its rows by load."""
+    site = Site(lake, "compacted")
+    rows = lake.accepted("customers").withColumn("_load", F.expr("lsn div 10 % 10 + 1"))
+    rows = rows.select("customer_id", "city", "lsn", "_load")
+    for load in range(1, 11):
+        site.tables.write_log(rows.where(F.col("_load") == load).drop("_load"), "changes_log", load, ["customer_id"])
+        if load % 5 == 0:
+            site.tables.compact("changes_log", upto=load, fan=2)
+    return site.tables.log("changes_log").select("customer_id", "city", "lsn", "_batch_id")
+
+
 def stream_dedupe(lake: Lake) -> DataFrame:
     """Clicks once each, though some are delivered again in a later load."""
     site = Site(lake, "stream-dedupe")
@@ -185,12 +267,16 @@ def clustered_layout(lake: Lake) -> DataFrame:
 
 STREAMED = {
     "ingest_once": ingest_once,
+    "ingest_odd_headers": ingest_odd_headers,
+    "ingest_malformed": ingest_malformed,
     "ingest_log": ingest_log,
     "read_files": read_files,
     "stream_scd2": stream_scd2,
     "stream_scd1": stream_scd1,
     "stream_first": stream_first,
     "backlog_run": backlog_run,
+    "merge_increments": merge_increments,
+    "compacted_log": compacted_log,
     "stream_dedupe": stream_dedupe,
     "stream_run": stream_run,
     "envelope_decode": envelope_decode,

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +18,9 @@ from tidemark.operators.combine import union_drifting
 SOURCE = "_source_file"
 # Fixed value: the schema of Spark's file listing source.
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
-HEADER_READERS = 16
+# Names that every bronze row has from its load, and the name under which Spark keeps malformed text.
+LINEAGE = ("_ingested_at", "_source_file", "_batch_id")
+CORRUPT = "_corrupt_record"
 
 
 def is_missing(error: AnalysisException) -> bool:
@@ -41,47 +45,144 @@ def landing_stream(spark: SparkSession, folder: str, fmt: str, max_files: int) -
     return reader.option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files).load(folder).select("path")
 
 
-def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one CSV file; Spark reads its first line only."""
-    return tuple(spark.read.option("header", True).csv(path).columns)
-
-
-def by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Paths grouped by header. One short read per file of the load, several at a time."""
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        for path, header in zip(paths, pool.map(lambda p: csv_header(spark, p), paths)):
-            if header:
-                groups[header].append(path)
-    return dict(sorted(groups.items()))
-
-
-def read_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """The first line with text of each file, in one distributed read whatever the number of files.
+
+    Only lines of a file's first block are looked at, and each task keeps one per file. The result is as long as the list of
+    paths.
+    """
+    block, path = F.col("_metadata.file_block_start"), F.col("_metadata.file_path")
+    lines = spark.read.text(list(paths)).select("value", path.alias(SOURCE), block.alias("_block"), F.monotonically_increasing_id().alias("_place"))
+    firsts = lines.where("_block = 0 AND trim(value) <> ''").groupBy(SOURCE).agg(F.min_by("value", "_place").alias("header"))
+    return {r[SOURCE]: r.header for r in firsts.collect()}
+
+
+def stored_names(sent: Sequence[str], known: Mapping[str, str]) -> list[str]:
+    """The column each sent name is kept under, all different.
+
+    ``known`` maps names in lower case to columns seen before: a name in another case is the same column. A blank name becomes
+    ``_c`` and its place, a name that a header repeats gets its place appended, and one that lineage columns use gets ``_sent``.
+    """
+    low = [name.lower() for name in sent]
+    names: list[str] = []
+    for place, name in enumerate(sent):
+        if not name.strip():
+            name = f"_c{place}"
+        elif low.count(name.lower()) > 1:
+            name = f"{name}{place}"
+        if name.lower() in LINEAGE:
+            name = f"{name}_sent"
+        name = known.get(name.lower(), name)
+        while name.lower() in {n.lower() for n in names}:
+            name += "_"
+        names.append(name)
+    return names
+
+
+def by_header(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Files of the same header line, under that line; files without text have none."""
+    groups: dict[str, list[str]] = defaultdict(list)
+    for path, header in sorted(first_lines(spark, paths).items()):
+        groups[header].append(path)
+    return dict(sorted(groups.items(), key=lambda group: group[1]))
+
+
+def read_csv(spark: SparkSession, paths: Sequence[str], known: Mapping[str, str]) -> Landed | None:
     """CSV files with headers, all text (A2): one scan per distinct header, whatever the number of files."""
-    frames = []
+    frames, pairs, known = [], [], dict(known)
     for header, members in by_header(spark, paths).items():
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        # enforceSchema off: Spark compares each file's header with the schema and fails on a mix-up
-        reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+        sent = next(csv.reader([header]))
+        names = stored_names(sent, known)
+        pairs += zip(sent, names)
+        known |= {name.lower(): name for name in names}
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        reader = spark.read.schema(schema).option("header", True)  # the header was read above: its line is skipped
         frames.append(reader.csv(members).select("*", F.col("_metadata.file_path").alias(SOURCE)))
-    return union_drifting(frames) if frames else None
+    return Landed(union_drifting(frames), list(dict.fromkeys(pairs))) if frames else None
+
+
+def json_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``_source_file, line, fields``: one row per JSON object; ``fields`` is null where a line is no JSON object (A3).
+
+    A line may hold an array of objects. All values are text, numbers as they were written. Blank lines are left out.
+    """
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias(SOURCE), F.col("value").alias("line"))
+    one, many = (F.from_json("line", kind) for kind in ("map<string,string>", "array<map<string,string>>"))
+    listed = F.ltrim("line").startswith("[")
+    found = F.when(listed, many).otherwise(F.array(one))
+    none = F.array(F.lit(None).cast("map<string,string>"))
+    return lines.where("trim(line) <> ''").select(SOURCE, "line", F.explode(F.coalesce(found, none)).alias("fields"))
+
+
+def read_json(spark: SparkSession, paths: Sequence[str], known: Mapping[str, str]) -> Landed | None:
+    """JSON lines, all values as text; what is no JSON object is kept whole in ``_corrupt_record`` (A3).
+
+    Files are read once, as text. The names that occur are collected by a distinct that starts in each task, so the driver gets
+    as many rows as there will be columns. Names that differ in case only are one column.
+    """
+    rows = json_rows(spark, paths).persist(StorageLevel.MEMORY_AND_DISK)
+    corrupt = F.array(F.struct(F.lit(CORRUPT).alias("key"), F.lit("").alias("value")))
+    pairs = rows.select(F.inline(F.coalesce(F.map_entries("fields"), corrupt)))
+    found = pairs.groupBy("key").agg(F.max(F.col("value").rlike(r"^[{\[]")).alias("nested")).orderBy("key").collect()
+    if not found:
+        rows.unpersist()
+        return None
+    nested = _nested_types(spark, paths, [r.key for r in found if r.nested])
+    names: list[tuple[str, str]] = []
+    known = dict(known)
+    for sent in (r.key for r in found):
+        (column,) = stored_names([sent], known)
+        known[column.lower()] = column
+        names.append((sent, column))
+    columns = []
+    for column in dict.fromkeys(c for _, c in names):
+        values = [_value(sent, nested.get(sent)) for sent, c in names if c == column]
+        if column == CORRUPT:
+            values.insert(0, F.when(F.col("fields").isNull(), F.col("line")))
+        columns.append(F.coalesce(*values).alias(column))
+    return Landed(rows.select(*columns, SOURCE), names, rows)
+
+
+def _value(name: str, kind: T.DataType | None) -> Column:
+    text = F.try_element_at("fields", F.lit(name))
+    return text if kind is None else F.from_json(text, kind).cast("string")
+
+
+def _nested_types(spark: SparkSession, paths: Sequence[str], names: Sequence[str]) -> dict[str, T.DataType]:
+    """Types of the fields that hold objects or lists throughout; only feeds that have some are read again for them."""
+    if not names:
+        return {}
+    try:
+        schema = spark.read.option("primitivesAsString", True).json(list(paths)).schema
+    except AnalysisException:  # names that differ in case only: their values stay JSON
+        return {}
+    return {f.name: f.dataType for f in schema.fields if f.name in names and not isinstance(f.dataType, T.StringType)}
 
 
-def read_json(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
-    """JSON lines with all primitives as text (A3); nested values are written as text too."""
-    frame = spark.read.option("primitivesAsString", True).json(list(paths))
-    if not frame.columns:
-        return None
-    texts = [F.col(f"`{c}`").cast("string").alias(c) for c in frame.columns]
-    return frame.select(*texts, F.col("_metadata.file_path").alias(SOURCE))
+@dataclass(frozen=True)
+class Landed:
+    """Rows of landing files, each sent name with the column it is kept under, and what to release when the rows are written."""
+
+    rows: DataFrame
+    names: list[tuple[str, str]]
+    held: DataFrame | None = None
+
+    def release(self) -> None:
+        if self.held is not None:
+            self.held.unpersist()
 
 
 READERS = {"csv": read_csv, "json": read_json}
 
 
+def land(spark: SparkSession, paths: Sequence[str], fmt: str, known: Mapping[str, str] | None = None) -> Landed | None:
+    """The rows of some landing files with their file names; ``None`` when the files hold no rows and no names."""
+    return READERS[fmt](spark, paths, known or {})
+
+
 def read_landing(spark: SparkSession, paths: Sequence[str], fmt: str) -> DataFrame | None:
-    """The rows of some landing files with their file names; ``None`` when the files hold no columns."""
-    return READERS[fmt](spark, paths)
+    found = land(spark, paths, fmt)
+    return None if found is None else found.rows
 
 
 def with_lineage(df: DataFrame, batch_id: int) -> DataFrame:

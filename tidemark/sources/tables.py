@@ -1,8 +1,9 @@
 """Tables of the layers by logical name.
 
-A load is written as one folder ``<table>/_batch_id=N`` that a repeated load replaces whole, so a load that
-died half-way is repaired by running it again (S5, S6). Key-wise tables are written bucket by bucket, always
-from the accepted log and never from their own rows, so a repeated publish repairs them as well.
+A bronze load is written as one folder ``<table>/_batch_id=N`` that a repeated load replaces whole, so a load that
+died half-way is repaired by running it again (S5, S6). Key-wise tables and logs consist of folders named by a
+:mod:`manifest <tidemark.sources.manifest>`: a bucket of keys is replaced by a new folder that may hold its own former rows,
+small loads of a log are merged into larger ranges of loads, and readers see the one state or the next.
 """
 
 from __future__ import annotations
@@ -18,9 +19,13 @@ from pyspark.sql import types as T
 
 from tidemark.functions import key_bucket
 from tidemark.sources.landing import is_missing
+from tidemark.sources.manifest import BUCKETS, LOADS, Entry, Files, Manifest, with_buckets, with_loads
 
 BATCH = "_batch_id"
 BUCKET = "_bucket"
+VERSION = "_version"
+#: A log's folders of one level are merged when there are so many of them.
+FAN = 8
 BRONZE_LINEAGE = (
     T.StructField("_ingested_at", T.TimestampType()),
     T.StructField("_source_file", T.StringType()),
@@ -66,6 +71,9 @@ class Tables:
 
     def find(self, name: str) -> DataFrame | None:
         """The table, or ``None`` where it does not exist or has no rows written yet."""
+        entries = [e for e in self.manifest(name).entries() if e.folder is not None]
+        if entries:
+            return self._folders(name, entries)
         try:
             if self.database is not None:
                 return self.spark.table(f"{self.database}.{name}")
@@ -75,6 +83,16 @@ class Tables:
                 return None
             raise
 
+    def manifest(self, name: str) -> Manifest:
+        return Manifest(self.spark, self.path(f"{name}_manifest"))
+
+    def _folders(self, name: str, entries: Sequence[Entry]) -> DataFrame:
+        reader = self.spark.read.option("basePath", self.path(name))
+        return reader.parquet(*sorted(e.folder for e in entries)).drop(VERSION)
+
+    def _new_folder(self, name: str) -> str:
+        return f"{self.path(name)}/{VERSION}=v{uuid.uuid4().hex}"
+
     def exists(self, name: str) -> bool:
         return self.find(name) is not None
 
@@ -154,34 +172,32 @@ class Tables:
         rows = found.select(F.col(BATCH).cast("long").alias(BATCH)).where(F.col(BATCH) > after).distinct().collect()
         return sorted(r[0] for r in rows)
 
-    def watermark(self, table: str) -> int:
-        """The last load processed into a table, 0 before the first."""
-        found = self.find("ops_watermarks")
-        if found is None:
-            return 0
-        return found.where(F.col("table_name") == table).agg(F.max("batch_id")).first()[0] or 0
+    def reached(self, table: str) -> int:
+        """The last load a table holds, 0 before the first."""
+        return self.manifest(table).reached()
 
-    def set_watermark(self, table: str, batch_id: int) -> None:
-        """Each table has its own folder, so entities processed side by side do not append to one."""
-        row = self.spark.range(1).select(
-            F.lit(batch_id).cast("long").alias("batch_id"), F.current_timestamp().alias("updated_at")
-        )
-        row.write.mode("append").parquet(f"{self.path('ops_watermarks')}/table_name={table}")
+    def reach(self, table: str, batch_id: int) -> None:
+        """Note that a table holds all loads up to this one, without a change of its rows."""
+        self.manifest(table).change(lambda entries: entries, batch_id)
 
     # ---- bronze ------------------------------------------------------------------------------------
 
-    def bronze_columns(self, feed: str, before: int | None = None) -> list[str]:
-        """Business columns of a bronze table in order of appearance; ``before`` leaves out later loads."""
+    def bronze_names(self, feed: str, before: int | None = None) -> list[tuple[str, str]]:
+        """The ledger of a feed: sent names with their columns, in order of appearance; ``before`` leaves out later loads."""
         found = self.find(f"bronze_{feed}_columns")
         if found is None:
             return []
         if before is not None:
             found = found.where(F.col(BATCH) < before)
-        return [r.column_name for r in found.orderBy(BATCH, "position").collect()]
+        return [(r.sent, r.column_name) for r in found.orderBy(BATCH, "position").collect()]
+
+    def bronze_columns(self, feed: str, before: int | None = None) -> list[str]:
+        """Columns of a bronze table in order of appearance: as many names as the feed has columns."""
+        return list(dict.fromkeys(column for _, column in self.bronze_names(feed, before)))
 
-    def add_bronze_columns(self, feed: str, columns: Sequence[str], batch_id: int) -> None:
-        rows = self.spark.createDataFrame(list(enumerate(columns)), "position int, column_name string")
-        self.write_batch(rows, f"bronze_{feed}_columns", batch_id)
+    def add_names(self, feed: str, names: Sequence[tuple[str, str]], batch_id: int) -> None:
+        rows = [(place, sent, column) for place, (sent, column) in enumerate(names)]
+        self.write_batch(self.spark.createDataFrame(rows, "position int, sent string, column_name string"), f"bronze_{feed}_columns", batch_id)
 
     def bronze_schema(self, feed: str) -> T.StructType:
         business = [T.StructField(c, T.StringType()) for c in self.bronze_columns(feed)]
@@ -207,32 +223,87 @@ class Tables:
     def with_bucket(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
         return df.withColumn(BUCKET, key_bucket(list(keys), self.buckets))
 
-    def write_log(self, df: DataFrame, name: str, batch_id: int, keys: Sequence[str]) -> int:
-        """Add one load to an accepted log, split by key bucket; oversized buckets are spread over tasks."""
-        return self.write_batch(self.with_bucket(df, keys).hint("rebalance", BUCKET), name, batch_id, [BUCKET])
-
-    def log(self, name: str) -> DataFrame:
-        return self.read(name).withColumn(BATCH, F.col(BATCH).cast("long"))
+    def buckets_of(self, name: str, buckets: Sequence[int]) -> DataFrame | None:
+        """The present rows of some key buckets; ``None`` where none of them has rows. Other buckets are not listed."""
+        entries = [e for e in self.manifest(name).entries(BUCKETS) if e.bucket in set(buckets)]
+        return self._folders(name, entries) if entries else None
 
-    def touched_buckets(self, name: str, batch_id: int) -> list[int]:
-        """Buckets with rows of a load: folder names only, at most as many as there are buckets."""
-        load = self.spark.read.parquet(self._load(name, batch_id))
-        return sorted(r[0] for r in load.select(BUCKET).distinct().collect())
-
-    def publish(self, df: DataFrame, name: str, keys: Sequence[str], within: Sequence[str] = ()) -> int:
+    def publish(self, df: DataFrame, name: str, keys: Sequence[str], within: Sequence[str] = (), reached: int = 0) -> int:
         """Replace the key buckets that ``df`` holds, whole, and leave the others alone.
 
-        An oversized bucket is spread over tasks and files. ``within`` sorts the rows of each file, so that
-        filters on these columns skip row groups (A19).
+        ``df`` may be made from the table's own rows: the new folders take the place of the old ones when all rows are
+        written, together with the mark of the last load ``reached``. An oversized bucket is spread over tasks and files.
+        ``within`` sorts the rows of each file, so that filters on these columns skip row groups (A19).
         """
         observed, rows = counted(self.with_bucket(df, keys))
         laid_out = observed.hint("rebalance", BUCKET)
         if within:
             laid_out = laid_out.sortWithinPartitions(BUCKET, *within)
-        writer = laid_out.write.mode("overwrite").partitionBy(BUCKET)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
+        folder = self._new_folder(name)
+        laid_out.write.partitionBy(BUCKET).parquet(folder)
+        manifest = self.manifest(name)
+        manifest.change(with_buckets({b: f"{folder}/{BUCKET}={b}" for b in self._buckets_in(folder)}), reached)
         return rows()
 
+    def _buckets_in(self, folder: str) -> list[int]:
+        names = Files(self.spark).names(folder)
+        return sorted(int(name.partition("=")[2]) for name in names if name.startswith(f"{BUCKET}="))
+
+    # ---- logs --------------------------------------------------------------------------------------
+
+    def write_log(self, df: DataFrame, name: str, batch_id: int, keys: Sequence[str] = ()) -> int:
+        """Add one load to a log, in place of an earlier attempt at it; split by key bucket where there are ``keys``.
+
+        Oversized buckets are spread over tasks.
+        """
+        observed, rows = counted(df.withColumn(BATCH, F.lit(batch_id).cast("long")))
+        folder = self._new_folder(name)
+        if keys:
+            self.with_bucket(observed, keys).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(folder)
+        else:
+            observed.write.parquet(folder)
+        written = rows()
+        self.manifest(name).change(with_loads(batch_id, batch_id, folder if written else None))
+        return written
+
+    def log(self, name: str, after: int = 0, loads: Sequence[int] | None = None) -> DataFrame | None:
+        """The rows of a log, of loads later than ``after`` or of the given ones; folders without them are not read."""
+        entries = [e for e in self.manifest(name).entries(LOADS) if e.last > after]
+        if loads is not None:
+            entries = [e for e in entries if any(e.first <= load <= e.last for load in loads)]
+        if not entries:
+            return None
+        found = self._folders(name, entries)
+        return found.where(F.col(BATCH) > after) if loads is None else found.where(F.col(BATCH).isin(list(loads)))
+
+    def touched_buckets(self, name: str, loads: Sequence[int]) -> list[int]:
+        """Buckets with rows of some loads: folder names only, at most as many as there are buckets."""
+        entries = [e for e in self.manifest(name).entries(LOADS) if any(e.first <= load <= e.last for load in loads)]
+        return sorted({bucket for e in entries for bucket in self._buckets_in(e.folder)})
+
+    def compact(self, name: str, upto: int, fan: int = FAN) -> int:
+        """Merge the folders of a log's loads up to ``upto``, which must all be processed; returns the folders merged.
+
+        Of ``fan`` folders of one level one of the next is made, so a log of n loads has at most ``fan`` times the
+        logarithm of n folders and each row is rewritten as often as there are levels. Rows keep their load number.
+        """
+        merged, level = 0, 0
+        while True:
+            settled = sorted((e for e in self.manifest(name).entries(LOADS) if e.last <= upto), key=lambda e: e.first)
+            if level > max((e.level for e in settled), default=-1):
+                return merged
+            batch = [e for e in settled if e.level == level][:fan]
+            if len(batch) < fan:
+                level += 1
+                continue
+            rows, folder = self._folders(name, batch), self._new_folder(name)
+            if BUCKET in rows.columns:
+                rows.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, BATCH).write.partitionBy(BUCKET).parquet(folder)
+            else:
+                rows.hint("rebalance").sortWithinPartitions(BATCH).write.parquet(folder)
+            self.manifest(name).change(with_loads(batch[0].first, batch[-1].last, folder, level + 1))
+            merged += fan
+
 
 def counted(df: DataFrame):
     """``(frame, get rows)``: counts the rows while an action runs, without a second pass."""

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.history import merge_events, version_chain
 from tidemark.operators.rules import quarantined
 from tidemark.plans import silver
 from tidemark.plans.retail import Entity
@@ -19,14 +19,11 @@ def table_name(entity: Entity) -> str:
 
 
 def _master(tables: Tables, entity: Entity) -> DataFrame | None:
-    """The master's accepted keys as they stand when the load runs.
-
-    They come from the accepted log, to which loads are only added: the master's table may be rewritten meanwhile.
-    """
+    """The master's keys as they stand when the load runs (D9). Its table may be replaced meanwhile: folders in use stay."""
     if entity.reference is None:
         return None
     key = entity.reference.key
-    found = tables.find(f"silver_{entity.reference.master}_log")
+    found = tables.find(f"silver_{entity.reference.master}")
     return tables.spark.createDataFrame([], f"{key} string") if found is None else found.select(key)
 
 
@@ -39,7 +36,7 @@ def load_batch(tables: Tables, entity: Entity, batch_id: int) -> dict:
     raw = tables.bronze(entity.feed, batch_id)
     rows = silver.checked(entity, raw, _master(tables, entity)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rejected = tables.write_batch(quarantined(rows), f"{table}_quarantine", batch_id)
+        rejected = tables.write_log(quarantined(rows), f"{table}_quarantine", batch_id)
         kept = silver.accepted_rows(entity, rows)
         accepted = tables.write_log(kept, f"{table}_log", batch_id, entity.merge.keys)
     finally:
@@ -64,7 +61,8 @@ def process_loads(tables: Tables, entity: Entity, batch_ids: list[int]) -> list[
     if changed:
         loads[-1]["rows_published"] = publish(tables, entity, changed)
     if loads:
-        tables.set_watermark(table_name(entity), max(batch_ids))
+        tables.reach(table_name(entity), max(batch_ids))
+        compact(tables, entity)
     return loads
 
 
@@ -74,16 +72,39 @@ def process_batch(tables: Tables, entity: Entity, batch_id: int) -> dict:
 
 
 def publish(tables: Tables, entity: Entity, batch_ids: list[int]) -> int:
-    """Rebuild the key buckets that the given loads touched from the accepted log of those buckets."""
+    """Merge the accepted rows of some loads into the key buckets they touch, and note that the table holds them.
+
+    The buckets' present rows are read, but no log. Merging is idempotent, so a replay of loads that were merged before leaves the table as it is. A history is merged as
+    change events, kept beside it, because versions no longer show events without a change.
+    """
+    table, merge = table_name(entity), entity.merge
+    touched = tables.touched_buckets(f"{table}_log", batch_ids)
+    fresh = tables.log(f"{table}_log", loads=batch_ids).drop(BUCKET)
+    if merge.how == "history":
+        events = f"{table}_events"
+        tables.publish(merge_events(_present(tables, events, touched), fresh, merge.history), events, merge.keys)
+        rows = version_chain(_present(tables, events, touched), merge.history)
+    else:
+        present = _present(tables, table, touched)
+        rows = silver.merged(entity, fresh if present is None else present.unionByName(fresh))
+    return tables.publish(rows, table, merge.keys, within=entity.sorted_by, reached=max(batch_ids))
+
+
+def _present(tables: Tables, name: str, touched: list[int]) -> DataFrame | None:
+    found = tables.buckets_of(name, touched)
+    return None if found is None else found.drop(BUCKET)
+
+
+def compact(tables: Tables, entity: Entity) -> None:
+    """Merge small folders of the logs whose loads the table holds already."""
     table = table_name(entity)
-    touched = sorted({bucket for batch_id in batch_ids for bucket in tables.touched_buckets(f"{table}_log", batch_id)})
-    log = tables.log(f"{table}_log").where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-    return tables.publish(silver.merged(entity, log), table, entity.merge.keys, within=entity.sorted_by)
+    for name in (f"{table}_log", f"{table}_quarantine"):
+        tables.compact(name, upto=tables.reached(table))
 
 
 def catch_up(tables: Tables, entity: Entity) -> list[dict]:
     """Process every bronze load the table has not seen, with one publish."""
-    pending = tables.batches(f"bronze_{entity.feed}", after=tables.watermark(table_name(entity)))
+    pending = tables.batches(f"bronze_{entity.feed}", after=tables.reached(table_name(entity)))
     return process_loads(tables, entity, pending)
 
 

@@ -13,24 +13,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.combine import new_columns
-from tidemark.operators.conform import business_columns
-from tidemark.sources.landing import is_missing, landing_stream, read_landing, with_lineage
+from tidemark.sources.landing import is_missing, land, landing_stream, with_lineage
 from tidemark.sources.tables import BATCH, Tables
 
 FILES_PER_LOAD = 1000
 
 
 def ingest_files(tables: Tables, feed: str, fmt: str, paths: Sequence[str], batch_id: int) -> dict:
-    """Write the rows of some files as load ``batch_id`` and record columns not seen before."""
-    rows = read_landing(tables.spark, paths, fmt) if paths else None
-    if rows is None:
+    """Write the rows of some files as load ``batch_id`` and record names not seen before.
+
+    The ledger of names is written first: a column that no row has yet does no harm, a row whose column is unknown would.
+    """
+    seen = tables.bronze_names(feed, before=batch_id)
+    columns = {column.lower(): column for _, column in seen}
+    landed = land(tables.spark, paths, fmt, columns) if paths else None
+    if landed is None:
         return {"table": f"bronze_{feed}", "batch_id": batch_id, "files": len(paths), "rows": 0, "new_columns": []}
-    added = new_columns(rows.select(*business_columns(rows)), tables.bronze_columns(feed, before=batch_id))
-    if added:
-        tables.add_bronze_columns(feed, added, batch_id)
-    written = tables.write_batch(with_lineage(rows, batch_id), f"bronze_{feed}", batch_id)
-    return {"table": f"bronze_{feed}", "batch_id": batch_id, "files": len(paths), "rows": written, "new_columns": added}
+    try:
+        added = [name for name in landed.names if name not in seen]
+        if added:
+            tables.add_names(feed, added, batch_id)
+        written = tables.write_batch(with_lineage(landed.rows, batch_id), f"bronze_{feed}", batch_id)
+    finally:
+        landed.release()
+    new = [c for c in dict.fromkeys(column for _, column in added) if c not in columns.values()]
+    return {"table": f"bronze_{feed}", "batch_id": batch_id, "files": len(paths), "rows": written, "new_columns": new}
 
 
 def start_ingest(
