@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.sources.tables import stored
+from tidemark.sources.tables import metrics, stored
 
 RANGE = "_range"
 
@@ -46,4 +46,4 @@ def in_ranges(df: DataFrame, order: Sequence[str], purpose: str, ranges: int | N
     seen = Observation(f"ranges-{uuid.uuid4().hex}")
     numbered = laid_out.withColumn(RANGE, F.spark_partition_id()).observe(seen, F.max(RANGE).alias("last"))
     rows = stored(numbered, purpose)
-    return Ranges(rows, (seen.get["last"] or 0) + 1)
+    return Ranges(rows, (metrics(seen).get("last") or 0) + 1)

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import defaultdict
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -141,7 +143,7 @@ class Tables:
         if parts is not None:
             writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.parquet(self.path(name))
-        found = observation.get
+        found = defaultdict(int, metrics(observation))
         nothing = self.spark.createDataFrame([], df.schema)
         if parts is None and found["rows"] == 0:
             nothing.write.mode("overwrite").parquet(self.path(name))  # keeps the schema readable
@@ -305,8 +307,16 @@ class Tables:
             merged += fan
 
 
+def metrics(observation: Observation) -> dict:
+    """What was observed while a frame was written; nothing where Spark found it empty on the way and left the counting out."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 def counted(df: DataFrame):
     """``(frame, get rows)``: counts the rows while an action runs, without a second pass."""
     observation = Observation(f"rows-{uuid.uuid4().hex}")
     frame = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-    return frame, lambda: observation.get["rows"]
+    return frame, lambda: metrics(observation).get("rows", 0)
