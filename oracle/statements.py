@@ -173,6 +173,8 @@ STATEMENTS = {
     "group_max_join": f"""SELECT {_STOCK} FROM silver_inventory
         QUALIFY silver_inventory.snapshot_date = max(silver_inventory.snapshot_date) OVER (PARTITION BY product_id)""",
     "gate_checks": _GATE,
+    "gate_saved": f"SELECT *, strftime({NOW}, '%Y-%m-%d %H:%M:%S.%f') AS checked_at FROM ({_GATE})",
+    "gate_enforced": f"SELECT check_name FROM ({_GATE}) WHERE NOT passed",
     "quarantine_by_batch": """SELECT _batch_id, count(*) AS total, count(*) FILTER (failed <> '') AS bad,
         round(count(*) FILTER (failed <> '') / count(*), 4) AS rate FROM checked_order_items GROUP BY _batch_id""",
     "serve_daily_revenue": "SELECT CAST(d.date AS VARCHAR) AS date, CAST(sum(revenue) AS DOUBLE) AS revenue, CAST(sum(orders) AS BIGINT) AS orders FROM daily_sales JOIN dim_date d USING (date_key) GROUP BY d.date",

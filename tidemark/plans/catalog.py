@@ -18,7 +18,8 @@ from tidemark.operators.rules import rule_failure_counts
 from tidemark.plans import gate, reports, star
 from tidemark.plans.lake import Lake
 from tidemark.plans.retail import BY_NAME, ENTITIES
-from tidemark.plans.streamed import STREAMED
+from tidemark.plans.streamed import STREAMED, Site
+from tidemark.streaming.run import RESULTS, save_results
 
 Query = Callable[[SparkSession, str], DataFrame]
 NOW = "2001-08-05 12:00:00"  # the reports that depend on the present time get it passed in
@@ -224,9 +225,9 @@ def fact_lines_checked(lake: Lake) -> DataFrame:
 
 def gate_checks(lake: Lake) -> DataFrame:
     """C10-C15 in one frame."""
+    lake.keep(*(e.name for e in ENTITIES))
     return gate.gate(
-        {e.feed: lake.raw(e.name) for e in ENTITIES},
-        {e.feed: lake.quarantine(e.name) for e in ENTITIES},
+        {e.feed: lake.counters(e.name) for e in ENTITIES},
         lake.recon,
         lake.fact_items,
         {
@@ -239,6 +240,26 @@ def gate_checks(lake: Lake) -> DataFrame:
     )
 
 
+def gate_saved(lake: Lake) -> DataFrame:
+    """Two checks saved under their run numbers, a day apart; the newest as the dashboard shows it."""
+    site, results = Site(lake, "gate"), gate_checks(lake)
+    for now in ("2001-08-04 12:00:00", NOW):
+        save_results(site.tables, results, F.lit(now).cast("timestamp_ntz"))
+    return reports.serve_latest_checks(site.tables.read(RESULTS))
+
+
+def gate_enforced(lake: Lake) -> DataFrame:
+    """C17: the checks for which the enforced gate stops a run."""
+    site = Site(lake, "enforced")
+    try:
+        gate.enforce(save_results(site.tables, gate_checks(lake), _now()))
+    except gate.GateFailed as stopped:
+        failed = str(stopped).partition(": ")[2].split(", ")
+    else:
+        failed = []
+    return lake.spark.createDataFrame([(name,) for name in failed], "check_name string")
+
+
 def quarantine_by_batch(lake: Lake) -> DataFrame:
     """Quarantine rate per load."""
     return gate.quarantine_rate_by_batch(lake.raw("order_items"), lake.quarantine("order_items"))
@@ -320,6 +341,8 @@ QUERIES: dict[str, Query] = {
     "drift_union": _on_lake(drift_union),
     "group_max_join": _on_lake(group_max_join),
     "gate_checks": _on_lake(gate_checks),
+    "gate_saved": _on_lake(gate_saved),
+    "gate_enforced": _on_lake(gate_enforced),
     "quarantine_by_batch": _on_lake(quarantine_by_batch),
     "serve_daily_revenue": _on_lake(lambda lake: reports.serve_daily_revenue(lake.daily_sales, lake.dim_date)),
     "serve_category_revenue": _on_lake(lambda lake: reports.serve_category_revenue(lake.daily_sales, F.lit("2001-07-31").cast("date"))),

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from tidemark.plans.retail import FRESHNESS_HOURS, MISMATCH_RATE_LIMIT, QUARANTINE_RATE_LIMIT, UNKNOWN_MEMBER_LIMIT
 
 
+#: What is counted of a source while it is written.
+COUNTERS = "rows_read long, rows_quarantined long, _ingested_at timestamp_ntz"
+
+
 class GateFailed(RuntimeError):
     """A run whose results broke at least one check."""
 
@@ -43,11 +47,16 @@ def _count_check(name: str, violations: DataFrame, unit: str) -> DataFrame:
 
 def quarantine_rate(source: str, bronze: DataFrame, quarantine: DataFrame | None) -> DataFrame:
     """Quarantined rows against all bronze rows of one source, both counted in the same job."""
-    counts = bronze.select(F.lit(0).alias("is_bad"))
+    counts = bronze.select(F.lit(1).cast("long").alias("rows_read"), F.lit(0).cast("long").alias("rows_quarantined"))
     if quarantine is not None:
-        counts = counts.unionAll(quarantine.select(F.lit(1).alias("is_bad")))
-    counted = counts.agg(F.count_if(F.col("is_bad") == 0).alias("total"), F.count_if(F.col("is_bad") == 1).alias("bad"))
-    return _rate_check(f"quarantine_rate.{source}", counted, QUARANTINE_RATE_LIMIT, "rows")
+        counts = counts.unionAll(quarantine.select(F.lit(0).cast("long"), F.lit(1).cast("long")))
+    return counted_quarantine_rate(source, counts)
+
+
+def counted_quarantine_rate(source: str, counters: DataFrame) -> DataFrame:
+    """The same, summed from what was counted when the loads were written."""
+    total, bad = (F.coalesce(F.sum(c), F.lit(0)) for c in ("rows_read", "rows_quarantined"))
+    return _rate_check(f"quarantine_rate.{source}", counters.agg(total.alias("total"), bad.alias("bad")), QUARANTINE_RATE_LIMIT, "rows")
 
 
 def quarantine_rate_by_batch(bronze: DataFrame, quarantine: DataFrame) -> DataFrame:
@@ -99,9 +108,9 @@ def fact_checks(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.select(F.inline(F.array(F.struct(*grain), F.struct(*members))))
 
 
-def freshness(source: str, bronze: DataFrame, now: Column, limit: float = FRESHNESS_HOURS) -> DataFrame:
-    """Hours since the last load; no load at all fails."""
-    aged = bronze.agg((F.timestamp_diff("SECOND", F.max("_ingested_at"), now) / F.lit(3600.0)).alias("hours"))
+def freshness(source: str, loads: DataFrame, now: Column, limit: float = FRESHNESS_HOURS) -> DataFrame:
+    """Hours since the last load, from its rows or its counters; no load at all fails."""
+    aged = loads.agg((F.timestamp_diff("SECOND", F.max("_ingested_at"), now) / F.lit(3600.0)).alias("hours"))
     hours = F.col("hours")
     detail = F.when(hours.isNull(), "no rows").otherwise("")
     return aged.select(*_row(f"freshness_hours.{source}", F.round(hours, 2), limit, hours <= limit, detail))
@@ -114,8 +123,7 @@ def missing_input(spark: SparkSession, name: str, limit: float) -> DataFrame:
 
 
 def gate(
-    bronze: Mapping[str, DataFrame],
-    quarantines: Mapping[str, DataFrame],
+    counters: Mapping[str, DataFrame],
     recon: DataFrame | None,
     fact: DataFrame | None,
     dims: Mapping[str, tuple[DataFrame | None, str]],
@@ -126,9 +134,11 @@ def gate(
 ) -> DataFrame:
     """All checks, one row each: seven sources, reconciliation, grain, two dimensions, unknown members, freshness.
 
+    ``counters`` holds what was counted of each source when its loads were written (:data:`COUNTERS`), a few rows a load.
+
     A table that does not exist is a failed row of each of its checks (S24).
     """
-    checks = [quarantine_rate(source, rows, quarantines.get(source)) for source, rows in bronze.items()]
+    checks = [counted_quarantine_rate(source, rows) for source, rows in counters.items()]
     checks.append(missing_input(spark, "revenue_reconciliation", MISMATCH_RATE_LIMIT) if recon is None else reconciliation_rate(recon))
     if fact is None:
         checks += [missing_input(spark, f"fact_order_items.{name}", limit) for name, limit in (("unique_grain", 0), ("unknown_members", UNKNOWN_MEMBER_LIMIT))]
@@ -136,8 +146,8 @@ def gate(
         checks.append(fact_checks(fact, ["order_id", "order_item_id"]))
     for name, (dim, key) in dims.items():
         checks.append(missing_input(spark, f"{name}.one_current_version", 0) if dim is None else one_current_version(name, dim, key))
-    if fresh_source in bronze:
-        checks.append(freshness(fresh_source.removesuffix("_cdc"), bronze[fresh_source], now, max_age_hours))
+    if fresh_source in counters:
+        checks.append(freshness(fresh_source.removesuffix("_cdc"), counters[fresh_source], now, max_age_hours))
     else:
         checks.append(missing_input(spark, f"freshness_hours.{fresh_source.removesuffix('_cdc')}", max_age_hours))
     return reduce(DataFrame.unionByName, checks)

@@ -1,19 +1,24 @@
 """The retail layers over the given tables: raw, typed, checked, accepted, kept, star.
 
-Up to accepted rows they are lazy frames. Kept tables, dimensions and facts are written to the shared folder when first
-asked for and read back, as in a run: every report above them scans a table instead of computing the layers again.
+Up to accepted rows they are lazy frames. Kept tables and facts are written to the shared folder when first asked for and
+read back, as in a run: every report above them scans a table instead of computing the layers again. Entities that a report
+needs are kept side by side, and what the gate counts is counted while they are written.
 """
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.operators.rules import quarantined
+from tidemark.operators.rules import ONCE, PASSES, quarantined
 from tidemark.plans import feeds, reports, silver, star
+from tidemark.plans.gate import COUNTERS
 from tidemark.plans.retail import BY_NAME
-from tidemark.sources.tables import stored
+from tidemark.sources.tables import metrics, stored
 
 
 class Lake:
@@ -25,6 +30,7 @@ class Lake:
         self.raw = lru_cache(maxsize=None)(lambda name: feeds.feed(spark, folder, name))
         self.checked = lru_cache(maxsize=None)(self._checked)
         self.kept = lru_cache(maxsize=None)(self._kept)
+        self._seen: dict[str, dict] = {}
 
     def source(self, name: str) -> DataFrame:
         return feeds.table(self.spark, self.folder, name)
@@ -38,7 +44,23 @@ class Lake:
         return silver.checked(entity, self.raw(name), master)
 
     def _kept(self, name: str) -> DataFrame:
-        return stored(silver.merged(BY_NAME[name], self.accepted(name)), f"kept-{name}")
+        entity, seen = BY_NAME[name], Observation(f"{name}-{uuid.uuid4().hex}")
+        bad = F.count_if(~F.col(PASSES) & (F.col(ONCE) >= 0))
+        rows = self.checked(name).observe(seen, F.count("*").alias("rows_read"), bad.alias("rows_quarantined"), F.max("_ingested_at").alias("newest"))
+        found = stored(silver.merged(entity, silver.accepted_rows(entity, rows)), f"kept-{name}")
+        self._seen[name] = metrics(seen)
+        return found
+
+    def keep(self, *names: str) -> None:
+        """Write some kept tables side by side, as a run does: one entity rarely fills a cluster by itself."""
+        with ThreadPoolExecutor(len(names)) as pool:
+            list(pool.map(self.kept, names))
+
+    def counters(self, name: str) -> DataFrame:
+        """Rows read and quarantined and the newest arrival, as one row."""
+        self.kept(name)
+        seen = self._seen[name]
+        return self.spark.createDataFrame([(seen.get("rows_read", 0), seen.get("rows_quarantined", 0), seen.get("newest"))], COUNTERS)
 
     def accepted(self, name: str) -> DataFrame:
         return silver.accepted_rows(BY_NAME[name], self.checked(name))
@@ -48,11 +70,11 @@ class Lake:
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return stored(star.dim_customer(self.kept("customers")), "dim-customer")
+        return star.dim_customer(self.kept("customers"))
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return stored(star.dim_product(self.kept("products")), "dim-product")
+        return star.dim_product(self.kept("products"))
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -60,6 +82,7 @@ class Lake:
 
     @cached_property
     def fact_items(self) -> DataFrame:
+        self.keep("order_items", "orders", "customers", "products")
         fact = star.fact_order_items(self.kept("order_items"), self.kept("orders"), self.dim_customer, self.dim_product)
         return stored(fact, "fact-items")
 
@@ -73,6 +96,7 @@ class Lake:
 
     @cached_property
     def recon(self) -> DataFrame:
+        self.keep("order_items", "orders", "customers", "products", "payments")
         return reports.reconciliation(self.fact_items, self.fact_payments, self.quarantined_ids)
 
     @cached_property
@@ -81,6 +105,7 @@ class Lake:
 
     @cached_property
     def inventory_status(self) -> DataFrame:
+        self.keep("order_items", "orders", "customers", "products", "inventory")
         return reports.inventory_status(self.kept("inventory"), self.fact_items, self.dim_product)
 
     @cached_property

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.history import merge_events, version_chain
@@ -39,6 +40,8 @@ def load_batch(tables: Tables, entity: Entity, batch_id: int) -> dict:
         rejected = tables.write_log(quarantined(rows), f"{table}_quarantine", batch_id)
         kept = silver.accepted_rows(entity, rows)
         accepted = tables.write_log(kept, f"{table}_log", batch_id, entity.merge.keys)
+        sums = (F.count("*").alias("rows_read"), F.lit(rejected).cast("long").alias("rows_quarantined"), F.max("_ingested_at").alias("_ingested_at"))
+        tables.write_log(rows.agg(*sums), f"{table}_counts", batch_id)
     finally:
         rows.unpersist()
     return {
@@ -95,10 +98,15 @@ def _present(tables: Tables, name: str, touched: list[int]) -> DataFrame | None:
     return None if found is None else found.drop(BUCKET)
 
 
+def load_counts(tables: Tables, entity: Entity) -> DataFrame | None:
+    """Rows read and quarantined and the arrival of each load, as counted when it was written."""
+    return tables.log(f"{table_name(entity)}_counts")
+
+
 def compact(tables: Tables, entity: Entity) -> None:
     """Merge small folders of the logs whose loads the table holds already."""
     table = table_name(entity)
-    for name in (f"{table}_log", f"{table}_quarantine"):
+    for name in (f"{table}_log", f"{table}_quarantine", f"{table}_counts"):
         tables.compact(name, upto=tables.reached(table))
 
 
