@@ -349,22 +349,33 @@ GOLD = {
         GROUP BY event_date)""",
 }
 
+# The kept tables where rows came in two loads without their own arrival time: the load decides, then the lowest values.
+IN_TWO_LOADS = {
+    "silver_order_items": _first("checked_order_items", "order_id, order_item_id", "_batch_id > 4, product_id, quantity, unit_price, freight_value"),
+    "silver_payments": _first("checked_payments", "order_id, payment_sequential", "_batch_id > 4, payment_type, payment_installments, payment_value"),
+    "silver_inventory": _first(
+        "checked_inventory", "supplier_id, product_id, warehouse_code, snapshot_date", "_batch_id < 3, qty_on_hand, unit_cost"
+    ),
+}
+
 LAYERS = {**RAW, **TYPED, **CHECKED, **SILVER, **GOLD}
 
 
-def with_layers(query: str) -> str:
-    """Prefix a query with the expressions it uses, in definition order."""
+def with_layers(query: str, instead: dict[str, str] | None = None) -> str:
+    """Prefix a query with the expressions it uses, in definition order; ``instead`` replaces some of them."""
     import re
 
+    layers = {**LAYERS, **(instead or {})}
+
     words = lambda text: set(re.findall(r"[a-z_0-9]+", text))
     needed: set[str] = set()
-    todo = words(query) & LAYERS.keys()
+    todo = words(query) & layers.keys()
     while todo:
         name = todo.pop()
         needed.add(name)
-        todo |= (words(LAYERS[name]) & LAYERS.keys()) - needed
+        todo |= (words(layers[name]) & layers.keys()) - needed
     if not needed:
         return query
     # A chain's name may equal a column's; definition order keeps every reference behind its definition.
-    parts = [f"{name} AS ({LAYERS[name]})" for name in LAYERS if name in needed]
+    parts = [f"{name} AS ({layers[name]})" for name in layers if name in needed]
     return "WITH " + ",\n".join(parts) + "\n" + query

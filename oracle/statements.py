@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.feeds import with_layers
+from oracle.feeds import IN_TWO_LOADS, with_layers
 
 NOW = "TIMESTAMP '2001-08-05 12:00:00'"
 
@@ -249,5 +249,28 @@ STATEMENTS |= {
 }
 
 
+_LATE = """
+  SELECT *, CASE WHEN held THEN least(week + 1, 4) ELSE week END AS load FROM (
+    SELECT 'E' || event_id AS event_id, ts, event_id % 500 = 7 AS held,
+           1 + CAST(ts >= TIMESTAMP '2024-01-08' AS INT) + CAST(ts >= TIMESTAMP '2024-01-15' AS INT) + CAST(ts >= TIMESTAMP '2024-01-22' AS INT) AS week,
+           event_type FROM events WHERE event_type IN ('view', 'click', 'purchase'))"""
+
+STATEMENTS |= {
+    # late is what lies more than two hours behind the newest valid click of the loads before
+    "late_clicks": f"""SELECT CAST(load AS BIGINT) AS _batch_id, event_id, {_ts('ts', 'event_ts')}, datesub('second', ts, clock) AS lateness
+        FROM (SELECT *, (SELECT max(b.ts) FROM late b WHERE b.load < late.load) AS clock FROM late)
+        WHERE held AND ts < clock - INTERVAL 2 HOUR""".replace("late b", f"({_LATE}) b").replace("FROM late)", f"FROM ({_LATE}) late)"),
+    "stream_messages": STATEMENTS["envelope_decode"],
+}
+
+IN_RUNS = {
+    "run_fact": STATEMENTS["fact_order_items"],
+    "run_daily_sales": STATEMENTS["daily_sales"],
+    "run_recon": STATEMENTS["recon_order_revenue"],
+    "run_inventory": STATEMENTS["inventory_status"],
+}
+
+
 def oracle_statements() -> dict[str, str]:
-    return {name: with_layers(text) for name, text in STATEMENTS.items()}
+    plain = {name: with_layers(text) for name, text in STATEMENTS.items()}
+    return plain | {name: with_layers(text, IN_TWO_LOADS) for name, text in IN_RUNS.items()}

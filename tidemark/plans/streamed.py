@@ -6,12 +6,14 @@ streams until all files are taken. The feed arrives in two parts, so late and re
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.conform import business_columns, raw_values
+from tidemark.plans import silver
 from tidemark.plans.lake import Lake
 from tidemark.plans.reports import serve_events_by_type
 from tidemark.plans.retail import BY_NAME, CLICKSTREAM, CUSTOMERS, INVENTORY, ORDER_ITEMS, ORDERS, PRODUCTS, Entity
@@ -19,9 +21,10 @@ from tidemark.sources.envelope import decode_envelope
 from tidemark.sources.landing import landing_files, read_landing
 from tidemark.sources.manifest import Files
 from tidemark.sources.tables import BUCKET, Tables, run_folder
-from tidemark.streaming.clicks import start_unique_events
+from tidemark.streaming.clicks import late_rows, start_unique_events
 from tidemark.streaming.entities import catch_up, start_entity
 from tidemark.streaming.ingest import ingested_files, start_ingest
+from tidemark.streaming.messages import start_messages
 from tidemark.streaming.run import run_once
 
 
@@ -221,21 +224,106 @@ def compacted_log(lake: Lake) -> DataFrame:
     return site.tables.log("changes_log").select("customer_id", "city", "lsn", "_batch_id")
 
 
-def stream_dedupe(lake: Lake) -> DataFrame:
-    """Clicks once each, though some are delivered again in a later load."""
-    site = Site(lake, "stream-dedupe")
-    clicks = lake.raw("clickstream")
+WEEKS = ("2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22")
+
+
+def _deduped_clicks(lake: Lake, purpose: str, clicks: DataFrame, load: Column) -> tuple[Site, DataFrame]:
+    """Clicks landed load by load and deduplicated by the stream; the site and the rows kept."""
+    site = Site(lake, purpose)
     path, checkpoint = site.tables.path("clicks"), site.tables.path("_checkpoints/clicks")
-    for part, condition in (("first", "_batch_id = 1"), ("again", "_batch_id = 2")):
-        site.land(CLICKSTREAM, clicks.where(condition), part)
+    for number in range(1, len(WEEKS) + 1):
+        site.land(CLICKSTREAM, clicks.where(load == number), f"load-{number}")
         site.ingest(CLICKSTREAM)
         start_unique_events(site.tables.bronze_stream(CLICKSTREAM.feed), path, checkpoint).awaitTermination()
-    rows = lake.spark.read.parquet(path)
+    return site, lake.spark.read.parquet(path)
+
+
+def _load_by_time(moment: Column) -> Column:
+    """1 for the first week and so on, by the time of the event."""
+    return F.size(F.filter(F.array(*(F.lit(w) for w in WEEKS[1:])), lambda w: w.cast("timestamp_ntz") <= moment)) + 1
+
+
+def stream_dedupe(lake: Lake) -> DataFrame:
+    """Clicks once each, in loads by time.
+
+    A click of the last hour and a half of a week that is delivered again comes in the next load, behind its week's end but within
+    the delay: only the state of the stream still knows it. Other repeats come in the same load.
+    """
+    clicks = lake.raw("clickstream")
+    moment = F.col("event_ts").cast("timestamp_ntz")
+    again = F.timestamp_add("MINUTE", F.when(F.col("_batch_id") == 2, F.lit(90)).otherwise(F.lit(0)), moment)
+    rows = _deduped_clicks(lake, "stream-dedupe", clicks, _load_by_time(again))[1]
     return rows.select(*business_columns(rows))
 
 
+def late_clicks(lake: Lake) -> DataFrame:
+    """Some clicks come in one load later than their week. What the stream shuts out is listed with load and lateness.
+
+    A click that comes less than the delay behind the newest one before it is still kept.
+    """
+    clicks = lake.raw("clickstream").where("_batch_id = 1")
+    held_back = F.pmod(F.substring("event_id", 2, 20).cast("long"), F.lit(500)) == 7
+    on_time = _load_by_time(F.col("event_ts").cast("timestamp_ntz"))
+    load = F.when(held_back, F.least(on_time + 1, F.lit(len(WEEKS)))).otherwise(on_time)
+    site, kept = _deduped_clicks(lake, "late-clicks", clicks, load)
+    delivered = silver.accepted_rows(CLICKSTREAM, silver.checked(CLICKSTREAM, site.tables.bronze(CLICKSTREAM.feed)))
+    return late_rows(delivered, kept, list(CLICKSTREAM.merge.keys))
+
+
+MESSAGE = "value binary, topic string, partition int, offset long"
+
+
+def stream_messages(lake: Lake) -> DataFrame:
+    """All events as messages of four partitions, a third of them delivered twice; each is taken once."""
+    site, events = Site(lake, "messages"), lake.source("events")
+    texts = [F.col(c).cast("string").alias(n) for c, n in (("event_id", "event_id"), ("user_id", "session_id"))]
+    number = F.row_number().over(Window.partitionBy(F.col("user_id") % 4, F.floor(F.col("event_id") / 1000)).orderBy("event_id"))
+    messages = events.select(
+        F.to_json(F.struct(*texts, "event_type")).cast("binary").alias("value"),
+        F.lit("clicks").alias("topic"),
+        (F.col("user_id") % 4).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        number.alias("number"),
+    )
+    third = F.col("number") % 3
+    for part, rows in enumerate((messages.where(third != 2), messages.where(third != 1))):
+        rows.drop("number").write.parquet(f"{site.landing}/messages/{part}")
+        envelopes = lake.spark.readStream.schema(MESSAGE).option("recursiveFileLookup", True).parquet(f"{site.landing}/messages")
+        start_messages(site.tables, "clicks", envelopes).awaitTermination()
+    return site.tables.bronze("clicks").select("event_id", "session_id", "event_type", "_source_file")
+
+
+# What the second run of a site adds, by entity: the first run takes the other rows.
+SECOND = {
+    "customers": "_batch_id = 2",
+    "products": "_batch_id > 1",
+    "orders": "_batch_id <= 2",
+    "order_items": "_batch_id > 4",
+    "payments": "_batch_id > 4",
+    "clickstream": "_batch_id = 2",
+    "inventory": "_batch_id = 3",
+}
+
+
+@lru_cache(maxsize=2)
+def _two_runs(spark: SparkSession, folder: str) -> Tables:
+    """The tables of a site after two runs, made once a session for all queries over them."""
+    site = Site(Lake(spark, folder), "two-runs")
+    for part in ("first", "second"):
+        for entity in BY_NAME.values():
+            condition = SECOND[entity.name] if part == "second" else f"NOT ({SECOND[entity.name]})"
+            site.land(entity, site.lake.raw(entity.name).where(condition), part)
+        run_once(site.tables, site.landing)
+    return site.tables
+
+
+def run_table(name: str) -> Callable[[Lake], DataFrame]:
+    """A gold table as two runs leave it, the second one with late, moved and repeated rows."""
+    return lambda lake: _two_runs(lake.spark, lake.folder).read(name).drop("fact_month")
+
+
 def stream_run(lake: Lake) -> DataFrame:
-    """All feeds through one run; the rows each silver and gold table ended with."""
+    """All feeds through one run; the rows each silver table ended with."""
     site = Site(lake, "run")
     for entity in BY_NAME.values():
         site.land(entity, lake.raw(entity.name), "all")
@@ -278,7 +366,13 @@ STREAMED = {
     "merge_increments": merge_increments,
     "compacted_log": compacted_log,
     "stream_dedupe": stream_dedupe,
+    "late_clicks": late_clicks,
+    "stream_messages": stream_messages,
     "stream_run": stream_run,
+    "run_fact": run_table("gold_fact_order_items"),
+    "run_daily_sales": run_table("gold_agg_daily_sales"),
+    "run_recon": run_table("gold_recon_order_revenue"),
+    "run_inventory": run_table("gold_agg_inventory_status"),
     "envelope_decode": envelope_decode,
     "clustered_layout": clustered_layout,
 }

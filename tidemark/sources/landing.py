@@ -101,33 +101,37 @@ def read_csv(spark: SparkSession, paths: Sequence[str], known: Mapping[str, str]
     return Landed(union_drifting(frames), list(dict.fromkeys(pairs))) if frames else None
 
 
-def json_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def fields_of(lines: DataFrame) -> DataFrame:
     """``_source_file, line, fields``: one row per JSON object; ``fields`` is null where a line is no JSON object (A3).
 
     A line may hold an array of objects. All values are text, numbers as they were written. Blank lines are left out.
     """
-    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias(SOURCE), F.col("value").alias("line"))
     one, many = (F.from_json("line", kind) for kind in ("map<string,string>", "array<map<string,string>>"))
-    listed = F.ltrim("line").startswith("[")
-    found = F.when(listed, many).otherwise(F.array(one))
+    found = F.when(F.ltrim("line").startswith("["), many).otherwise(F.array(one))
     none = F.array(F.lit(None).cast("map<string,string>"))
     return lines.where("trim(line) <> ''").select(SOURCE, "line", F.explode(F.coalesce(found, none)).alias("fields"))
 
 
 def read_json(spark: SparkSession, paths: Sequence[str], known: Mapping[str, str]) -> Landed | None:
-    """JSON lines, all values as text; what is no JSON object is kept whole in ``_corrupt_record`` (A3).
+    """JSON lines, all values as text, read once as text (A3)."""
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias(SOURCE), F.col("value").alias("line"))
+    return landed_json(fields_of(lines), known, paths)
+
+
+def landed_json(rows: DataFrame, known: Mapping[str, str], paths: Sequence[str] = ()) -> Landed | None:
+    """JSON objects as columns; what is no JSON object is kept whole in ``_corrupt_record``.
 
-    Files are read once, as text. The names that occur are collected by a distinct that starts in each task, so the driver gets
-    as many rows as there will be columns. Names that differ in case only are one column.
+    The names that occur are collected by an aggregate that starts in each task, so the driver gets as many rows as there will be
+    columns. Names that differ in case only are one column. Nested values stay JSON where no files are named.
     """
-    rows = json_rows(spark, paths).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     corrupt = F.array(F.struct(F.lit(CORRUPT).alias("key"), F.lit("").alias("value")))
     pairs = rows.select(F.inline(F.coalesce(F.map_entries("fields"), corrupt)))
     found = pairs.groupBy("key").agg(F.max(F.col("value").rlike(r"^[{\[]")).alias("nested")).orderBy("key").collect()
     if not found:
         rows.unpersist()
         return None
-    nested = _nested_types(spark, paths, [r.key for r in found if r.nested])
+    nested = _nested_types(rows.sparkSession, paths, [r.key for r in found if r.nested]) if paths else {}
     names: list[tuple[str, str]] = []
     known = dict(known)
     for sent in (r.key for r in found):

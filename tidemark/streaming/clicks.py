@@ -6,12 +6,14 @@ of the previous micro-batch, so lateness shows only after two micro-batches that
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from tidemark.operators.combine import distinct_keys
 from tidemark.plans import silver
 from tidemark.plans.retail import CLICKSTREAM, Entity
+from tidemark.sources.tables import BATCH
 
 DELAY = "2 hours"  # fixed value: how late a click may arrive
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -41,6 +43,21 @@ def start_unique_events(raw: DataFrame, path: str, checkpoint: str, day: str = "
             spark.conf.set(STATE_STORE, before)
 
 
+def late_rows(delivered: DataFrame, kept: DataFrame, keys: list[str], event_time: str = "event_ts") -> DataFrame:
+    """The valid rows that are neither kept nor a repeat of a kept row: those the watermark shut out.
+
+    ``delivered`` holds the valid rows of some loads with their load number, ``kept`` the table written so far. ``lateness`` counts
+    the seconds by which a row's time lies behind the newest of the loads before it; rows that were taken for late all
+    exceed the delay. So kept, repeated and late rows add up to what was delivered.
+    """
+    times = delivered.groupBy(BATCH).agg(F.max(event_time).alias("_newest"))  # one row a load
+    before = Window.orderBy(BATCH).rowsBetween(Window.unboundedPreceding, -1)
+    clock = times.select(BATCH, F.max("_newest").over(before).alias("_clock"))
+    lost = delivered.join(distinct_keys(kept, keys), keys, "left_anti").join(F.broadcast(clock), BATCH)
+    lateness = F.timestamp_diff("SECOND", F.col(event_time), F.col("_clock"))
+    return lost.select(BATCH, *keys, event_time, lateness.alias("lateness"))
+
+
 class LateRows(StreamingQueryListener):
     """Counts the rows each query drops behind its watermark (J5), over all of its progress."""
 
