@@ -139,6 +139,10 @@ STATEMENTS = {
     "scd2_sliced": _EVENT_HISTORY,
     "scd2_bursty": f"SELECT user_id, event_type, is_deleted, {_validity()} FROM ({_BURST_CHAIN})",
     "scd2_late": f"SELECT {_CUSTOMER}, is_deleted, {_validity()} FROM customers",
+    "history_from_empty": f"SELECT {_CUSTOMER}, is_deleted, {_validity()} FROM customers",
+    "foreign_bounds": f"SELECT {_PRODUCT}, is_deleted, {_validity()} FROM products",
+    "version_hashes": f"""SELECT customer_id, {_ts('effective_from')}, sha256(CAST(to_json({{'full_name': full_name, 'email': email, 'city': city,
+        'state': state, 'segment': segment, 'is_deleted': is_deleted}}) AS VARCHAR)) AS row_hash FROM customers""",
     "scd2_soft_delete": "SELECT is_deleted, is_current, count(*) AS versions FROM products GROUP BY ALL",
     "surrogate_key": f"SELECT product_id, {_ts('effective_from')}, product_sk FROM dim_product",
     "dim_date": f"SELECT date_key, {_date('date')}, year, month, day, day_name, iso_week, is_weekend FROM dim_date",
@@ -260,6 +264,10 @@ STATEMENTS |= {
     "late_clicks": f"""SELECT CAST(load AS BIGINT) AS _batch_id, event_id, {_ts('ts', 'event_ts')}, datesub('second', ts, clock) AS lateness
         FROM (SELECT *, (SELECT max(b.ts) FROM late b WHERE b.load < late.load) AS clock FROM late)
         WHERE held AND ts < clock - INTERVAL 2 HOUR""".replace("late b", f"({_LATE}) b").replace("FROM late)", f"FROM ({_LATE}) late)"),
+    "requeued_lines": f"""SELECT {_LINE} FROM checked_order_items WHERE failed = ''
+        QUALIFY row_number() OVER (PARTITION BY order_id, order_item_id
+                                   ORDER BY product_id, quantity, checked_order_items.unit_price, checked_order_items.freight_value) = 1""",
+    "requeued_quarantine": STATEMENTS["rule_failure_counts"],
     "stream_messages": STATEMENTS["envelope_decode"],
 }
 

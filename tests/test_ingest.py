@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.conform import raw_values
 from tidemark.sources.landing import by_header, land, stored_names
+from tidemark.plans.retail import ORDER_ITEMS, PRODUCTS
+from tidemark.streaming import entities
 from tidemark.streaming.clicks import late_rows
 from tidemark.streaming.ingest import ingest_files
 from tidemark.streaming.messages import BLOCK, offset_ranges, take_messages, unseen
@@ -110,3 +112,26 @@ def test_late_rows_are_neither_kept_nor_repeats(spark):
     assert rows(late_rows(delivered, kept, ["event_id"]), "_batch_id", "event_id", "lateness") == [(2, "c", 7 * 3600), (3, "c", 7 * 3600)]
 
 
+
+
+def test_lines_leave_quarantine_when_their_product_arrives(spark, tables, tmp_path):
+    head = "order_id,order_item_id,product_id,quantity,unit_price,freight_value\n"
+    def products(load, *ids):
+        text = "".join(f'{{"product_id": "{i}", "list_price": "1", "op": "I", "change_ts": "2026-09-01", "lsn": "1"}}\n' for i in ids)
+        ingest_files(tables, "products_cdc", "json", [put(tmp_path / "p", f"{load}.json", text)], load)
+        entities.process_batch(tables, PRODUCTS, load)
+
+    products(1, "P1")
+    lines = ["O1,1,P1,1,5.00,0\nO1,2,P2,1,6.00,0\nO2,1, P2 ,0,N/A,0\n", "O3,1,P3,1,7.00,0\nO3,2,P2,2,8.00,1\n"]
+    for load, text in enumerate(lines, 1):
+        ingest_files(tables, "order_items", "csv", [put(tmp_path / "i", f"{load}.csv", head + text)], load)
+        entities.process_batch(tables, ORDER_ITEMS, load)
+    kept = lambda: rows(tables.read("silver_order_items"), "order_id", "order_item_id", "_batch_id")
+    bad = lambda: rows(tables.read("silver_order_items_quarantine").selectExpr("_raw['order_id']", "size(_failed_rules)", "_batch_id"))
+    assert kept() == [("O1", 1, 1)] and bad() == [("O1", 1, 1), ("O2", 3, 1), ("O3", 1, 2), ("O3", 1, 2)]
+    products(2, "P2")
+    for _ in range(2):  # a second look finds nothing new
+        entities.requeue(tables, ORDER_ITEMS)
+        assert kept() == [("O1", 1, 1), ("O1", 2, 1), ("O3", 2, 2)] and bad() == [("O2", 2, 1), ("O3", 1, 2)]
+    total = entities.load_counts(tables, ORDER_ITEMS).groupBy().sum("rows_read", "rows_quarantined").first()
+    assert tuple(total) == (5, 2)

@@ -13,7 +13,7 @@ from tidemark.operators.asof import as_of_join
 from tidemark.operators.combine import group_maximum, new_columns, union_drifting
 from tidemark.operators.conform import business_columns
 from tidemark.operators.dedupe import by_arrival, duplicate_keys, latest_state, latest_values
-from tidemark.operators.history import HistorySpec, apply_changes, build_history
+from tidemark.operators.history import HistorySpec, apply_changes, build_history, empty_history, from_bounds
 from tidemark.operators.rules import rule_failure_counts
 from tidemark.plans import gate, reports, star
 from tidemark.plans.lake import Lake
@@ -158,6 +158,23 @@ def scd2_late(lake: Lake) -> DataFrame:
     return _without_lineage(apply_changes(build_history(first, spec), first, late, spec))
 
 
+def history_from_empty(lake: Lake) -> DataFrame:
+    """The first run, whose dimension is empty but typed, gets all changes at once."""
+    spec, log = BY_NAME["customers"].merge.history, lake.accepted("customers")
+    return _without_lineage(apply_changes(empty_history(log, spec), log.limit(0), log, spec))
+
+
+def foreign_bounds(lake: Lake) -> DataFrame:
+    """A history from elsewhere, with other names for its bounds and without a mark of the current version."""
+    theirs = lake.kept("products").withColumnsRenamed({"effective_from": "valid_from", "effective_to": "valid_to"}).drop("is_current")
+    return _without_lineage(from_bounds(theirs, "valid_from", "valid_to"))
+
+
+def version_hashes(lake: Lake) -> DataFrame:
+    """The hash stored with each version."""
+    return lake.kept("customers").select("customer_id", "effective_from", F.col("_row_hash").alias("row_hash"))
+
+
 def scd2_soft_delete(lake: Lake) -> DataFrame:
     """Deletes are versions: deleted and current products."""
     return lake.kept("products").groupBy("is_deleted", "is_current").agg(F.count("*").alias("versions"))
@@ -317,6 +334,9 @@ QUERIES: dict[str, Query] = {
     "scd2_sliced": _on_lake(scd2_sliced),
     "scd2_bursty": _on_lake(scd2_bursty),
     "scd2_late": _on_lake(scd2_late),
+    "history_from_empty": _on_lake(history_from_empty),
+    "foreign_bounds": _on_lake(foreign_bounds),
+    "version_hashes": _on_lake(version_hashes),
     "scd2_soft_delete": _on_lake(scd2_soft_delete),
     "surrogate_key": _on_lake(keys_of_products),
     "dim_date": _on_lake(lambda lake: lake.dim_date),

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.combine import union_drifting
 from tidemark.operators.rules import quarantined
 from tidemark.plans import reports, silver, star
 from tidemark.plans.retail import BY_NAME, Entity
@@ -102,12 +103,13 @@ def touched_months(tables: Tables) -> list[int] | None:
         return None
 
     def fresh(name: str) -> DataFrame:
-        """Accepted rows of loads that gold does not hold; an empty table where there are none."""
-        found = tables.log(f"silver_{name}_log", after=tables.reached(f"gold_{name}"))
-        if found is not None:
-            return found
+        """Accepted rows of loads that gold does not hold, lines released since included; an empty table where there are none."""
         entity = BY_NAME[name]
-        return silver.accepted_rows(entity, _empty_checked(tables.spark, entity))
+        found = [tables.log(f"silver_{name}_log", after=tables.reached(f"gold_{name}"))]
+        if entity.reference:  # numbered by the loads of the master that released them
+            found.append(tables.log(f"silver_{name}_released_log", after=tables.reached(f"gold_{entity.reference.master}")))
+        frames = [frame for frame in found if frame is not None]
+        return union_drifting(frames) if frames else silver.accepted_rows(entity, _empty_checked(tables.spark, entity))
 
     def first_change(name: str, key: str) -> DataFrame:
         return fresh(name).groupBy(key).agg(F.min("change_ts").alias("_since"))

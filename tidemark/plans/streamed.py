@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.conform import business_columns, raw_values
+from tidemark.operators.rules import rule_failure_counts
 from tidemark.plans import silver
 from tidemark.plans.lake import Lake
 from tidemark.plans.reports import serve_events_by_type
@@ -22,7 +23,7 @@ from tidemark.sources.landing import landing_files, read_landing
 from tidemark.sources.manifest import Files
 from tidemark.sources.tables import BUCKET, Tables, run_folder
 from tidemark.streaming.clicks import late_rows, start_unique_events
-from tidemark.streaming.entities import catch_up, start_entity
+from tidemark.streaming.entities import catch_up, requeue, start_entity
 from tidemark.streaming.ingest import ingested_files, start_ingest
 from tidemark.streaming.messages import start_messages
 from tidemark.streaming.run import run_once
@@ -270,6 +271,32 @@ def late_clicks(lake: Lake) -> DataFrame:
     return late_rows(delivered, kept, list(CLICKSTREAM.merge.keys))
 
 
+@lru_cache(maxsize=2)
+def _requeued(spark: SparkSession, folder: str) -> Tables:
+    """Order lines that met two thirds of the products first, and were checked again when the others arrived."""
+    site = Site(Lake(spark, folder), "requeued")
+    products, late = site.lake.raw("products"), "CAST(substring(product_id, 2) AS INT) % 3 = 0"
+    site.land(PRODUCTS, products.where(f"NOT ({late})"), "first")
+    site.refresh(PRODUCTS)
+    site.land(ORDER_ITEMS, site.lake.raw("order_items"), "all")
+    site.refresh(ORDER_ITEMS)
+    site.land(PRODUCTS, products.where(late), "second")
+    site.refresh(PRODUCTS)
+    requeue(site.tables, ORDER_ITEMS)
+    return site.tables
+
+
+def requeued_lines(lake: Lake) -> DataFrame:
+    """The lines kept after products that arrived late took theirs out of quarantine."""
+    rows = _requeued(lake.spark, lake.folder).read("silver_order_items").drop(BUCKET)
+    return rows.select(*business_columns(rows))
+
+
+def requeued_quarantine(lake: Lake) -> DataFrame:
+    """C4: what is left in quarantine then, by rule."""
+    return rule_failure_counts(_requeued(lake.spark, lake.folder).read("silver_order_items_quarantine"))
+
+
 MESSAGE = "value binary, topic string, partition int, offset long"
 
 
@@ -367,6 +394,8 @@ STREAMED = {
     "compacted_log": compacted_log,
     "stream_dedupe": stream_dedupe,
     "late_clicks": late_clicks,
+    "requeued_lines": requeued_lines,
+    "requeued_quarantine": requeued_quarantine,
     "stream_messages": stream_messages,
     "stream_run": stream_run,
     "run_fact": run_table("gold_fact_order_items"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -283,6 +283,13 @@ class Tables:
         entries = [e for e in self.manifest(name).entries(LOADS) if any(e.first <= load <= e.last for load in loads)]
         return sorted({bucket for e in entries for bucket in self._buckets_in(e.folder)})
 
+    def rewrite_loads(self, name: str, part: Entry, change: Callable[[DataFrame], DataFrame]) -> None:
+        """Put changed rows in the place of one folder of a log without key buckets; rows keep their load numbers."""
+        observed, rows = counted(change(self._folders(name, [part])))
+        folder = self._new_folder(name)
+        observed.write.parquet(folder)
+        self.manifest(name).change(with_loads(part.first, part.last, folder if rows() else None, part.level))
+
     def compact(self, name: str, upto: int, fan: int = FAN) -> int:
         """Merge the folders of a log's loads up to ``upto``, which must all be processed; returns the folders merged.
 

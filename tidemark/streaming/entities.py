@@ -7,11 +7,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions import trimmed
+from tidemark.operators.combine import distinct_keys
+from tidemark.operators.conform import LINEAGE
 from tidemark.operators.history import merge_events, version_chain
-from tidemark.operators.rules import quarantined
+from tidemark.operators.rules import FAILED, quarantined
 from tidemark.plans import silver
 from tidemark.plans.retail import Entity
-from tidemark.sources.tables import BUCKET, Tables
+from tidemark.sources.manifest import LOADS
+from tidemark.sources.tables import BATCH, BUCKET, Tables
 from tidemark.streaming.ingest import start_ingest
 
 
@@ -77,12 +81,20 @@ def process_batch(tables: Tables, entity: Entity, batch_id: int) -> dict:
 def publish(tables: Tables, entity: Entity, batch_ids: list[int]) -> int:
     """Merge the accepted rows of some loads into the key buckets they touch, and note that the table holds them.
 
-    The buckets' present rows are read, but no log. Merging is idempotent, so a replay of loads that were merged before leaves the table as it is. A history is merged as
-    change events, kept beside it, because versions no longer show events without a change.
+    The buckets' present rows are read, but no log. Merging is idempotent, so a replay of loads that were merged before leaves
+    the table as it is.
+    """
+    log = f"{table_name(entity)}_log"
+    fresh = tables.log(log, loads=batch_ids).drop(BUCKET)
+    return merge_rows(tables, entity, fresh, tables.touched_buckets(log, batch_ids), reached=max(batch_ids))
+
+
+def merge_rows(tables: Tables, entity: Entity, fresh: DataFrame, touched: list[int], reached: int = 0) -> int:
+    """Replace the ``touched`` buckets by their present rows and ``fresh`` ones, merged.
+
+    A history is merged as change events, kept beside it, because versions no longer show events without a change.
     """
     table, merge = table_name(entity), entity.merge
-    touched = tables.touched_buckets(f"{table}_log", batch_ids)
-    fresh = tables.log(f"{table}_log", loads=batch_ids).drop(BUCKET)
     if merge.how == "history":
         events = f"{table}_events"
         tables.publish(merge_events(_present(tables, events, touched), fresh, merge.history), events, merge.keys)
@@ -90,7 +102,7 @@ def publish(tables: Tables, entity: Entity, batch_ids: list[int]) -> int:
     else:
         present = _present(tables, table, touched)
         rows = silver.merged(entity, fresh if present is None else present.unionByName(fresh))
-    return tables.publish(rows, table, merge.keys, within=entity.sorted_by, reached=max(batch_ids))
+    return tables.publish(rows, table, merge.keys, within=entity.sorted_by, reached=reached)
 
 
 def _present(tables: Tables, name: str, touched: list[int]) -> DataFrame | None:
@@ -99,8 +111,55 @@ def _present(tables: Tables, name: str, touched: list[int]) -> DataFrame | None:
 
 
 def load_counts(tables: Tables, entity: Entity) -> DataFrame | None:
-    """Rows read and quarantined and the arrival of each load, as counted when it was written."""
-    return tables.log(f"{table_name(entity)}_counts")
+    """Rows read and quarantined and the arrival of each load, as counted when it was written; lines released later count less."""
+    counts, released = tables.log(f"{table_name(entity)}_counts"), tables.log(released_log(entity))
+    if counts is None or released is None:
+        return counts
+    less = released.agg((-F.count("*")).alias("rows_quarantined")).select(F.lit(0).cast("long").alias("rows_read"), "rows_quarantined")
+    return counts.unionByName(less, allowMissingColumns=True)
+
+
+def released_log(entity: Entity) -> str:
+    return f"{table_name(entity)}_released_log"
+
+
+def requeue(tables: Tables, entity: Entity) -> int:
+    """Take lines out of quarantine whose master was unknown and has arrived since; returns the lines accepted.
+
+    Lines whose key came with master loads not looked at yet are checked again. Those that failed the referential rule alone are
+    typed from their raw values, logged under the master's load and merged into the table; the others lose that reason.
+    The quarantine is rewritten load by load, then the master's loads are marked as looked at. Each step can be repeated.
+    """
+    reference, table = entity.reference, table_name(entity)
+    name, log, mark = f"{table}_quarantine", released_log(entity), f"{table}_requeue"
+    upto = tables.reached(f"silver_{reference.master}")
+    brought, waiting = tables.log(f"silver_{reference.master}_log", after=tables.reached(mark)), tables.log(name)
+    if brought is None or waiting is None:
+        tables.reach(mark, upto)
+        return 0
+    keys = distinct_keys(brought.select(F.col(reference.key).alias("_key")), ["_key"])
+    known, rule = trimmed(F.col("_raw")[reference.key]) == F.col("_key"), reference.rule
+    if not any(e.last == upto for e in tables.manifest(log).entries(LOADS)):
+        back = waiting.where(F.col(FAILED) == F.array(F.lit(rule))).join(keys, known, "left_semi")
+        raw = back.select(*(F.col("_raw")[f.name].alias(f.name) for f in entity.fields), *LINEAGE)
+        rows = silver.accepted_rows(entity, silver.checked(entity, raw, _master(tables, entity)))
+        tables.write_log(rows.withColumn("_released_from", F.col(BATCH)), log, upto, entity.merge.keys)
+    released = tables.log(log, loads=[upto])
+    if released is not None:
+        fresh = released.drop(BUCKET, BATCH).withColumnRenamed("_released_from", BATCH)
+        merge_rows(tables, entity, fresh, tables.touched_buckets(log, [upto]))
+
+    def without_reason(rows: DataFrame) -> DataFrame:
+        left = F.when(F.col("_key").isNotNull(), F.array_remove(FAILED, rule)).otherwise(F.col(FAILED))
+        return rows.join(keys, known, "left").withColumn(FAILED, left).where(F.size(FAILED) > 0).drop("_key")
+
+    resolved = waiting.where(F.array_contains(FAILED, rule)).join(keys, known, "left_semi")
+    loads = {r[0] for r in resolved.select(BATCH).distinct().collect()}  # at most one number a load
+    for part in tables.manifest(name).entries(LOADS):
+        if any(part.first <= load <= part.last for load in loads):
+            tables.rewrite_loads(name, part, without_reason)
+    tables.reach(mark, upto)
+    return 0 if released is None else released.count()
 
 
 def compact(tables: Tables, entity: Entity) -> None:
