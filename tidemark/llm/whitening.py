@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
@@ -121,11 +122,16 @@ class Slabs:
             yield first, blocks(slab, end - first, self.d, self.rows_per_block, min(self.d, MOST_COLUMNS))
 
     def scatter(self) -> np.ndarray:
-        """The sum of all rows' products with themselves."""
+        """The sum of all rows' products with themselves.
+
+        A slab's blocks are read as left and right factor and for their sizes, so they are kept while it is multiplied.
+        """
         total = np.zeros((self.d, self.d))
         for _, slab in self:
             inner = -(-slab.numRows() // self.rows_per_block)
+            slab.persist(StorageLevel.MEMORY_AND_DISK)
             total += product(slab.transpose(), slab, inner).toLocalMatrix().toArray()
+            slab._java_matrix_wrapper.call("blocks").unpersist(False)
         return total
 
     def times(self, matrix: np.ndarray) -> DataFrame:
