@@ -37,6 +37,15 @@ def test_latest_state_by_time_then_sequence(spark):
     assert rows(latest_values(events, ["order_id"], ["status"], ["change_ts", "lsn"])) == [("O1", "delivered"), ("O2", "shipped")]
 
 
+def test_the_aggregate_breaks_ties_like_the_window(spark):
+    rng = random.Random(1)
+    data = [(f"k{rng.randrange(9)}", rng.choice([None, day(1), day(2)]), rng.choice([None, 1, 2]), rng.choice("abc"), rng.choice([None, 1.5, 2.5])) for _ in range(300)]
+    df = spark.createDataFrame(data, "k string, at timestamp_ntz, lsn long, v string, w double").repartition(5)
+    assert rows(latest_values(df, ["k"], ["v", "w"], ["at", "lsn"])) == rows(latest_state(df, ["k"], ["at", "lsn"]), "k", "v", "w")
+    with pytest.raises(TypeError):
+        latest_values(df, ["k"], ["w"], ["v"])
+
+
 def test_a_tie_is_broken_the_same_way_in_any_partitioning(spark):
     data = [("O1", n, f"v{n % 7}", day(1)) for n in range(40)]
     picks = set()
