@@ -2,16 +2,19 @@
 
 1. Texts become sets of five-word shingles; a set becomes 256 minima. Documents with the same set are one class, of
    which one goes on, so exact copies never meet as pairs.
-2. Sixteen signature orders: each tree sorts all classes by eight minima of its own. Neighbours within ``WINDOW`` places
-   that share at least ``SHARED`` leading minima are first candidates. A sketch discards those far below the threshold;
-   of the others each range offers a spanning forest, whose links are confirmed on the full sets. This only saves work:
-   what a window or a range border leaves out is found by the next step.
-3. A region is all classes that share the ``SHARED`` leading minima of a tree. In every region with more than one
-   component so far, all pairs between different components are candidates: in regions of up to ``SMALL`` rows by
-   sketch and then on the full sets, in larger ones block by block on the full sets. Then the components are joined.
+2. A region is all classes that share the ``SHARED`` leading minima of a tree. Regions are counted by their hash first; a
+   class goes on only in the trees where its region holds another class, so most rows never enter an order.
+3. Sixteen signature orders: each tree sorts its rows by eight minima of its own. Neighbours within ``WINDOW`` places
+   that share their region are first candidates. A sketch discards those far below the threshold; of the others each
+   range offers a spanning forest, whose links are confirmed on the full sets. This only saves work: what a window or a
+   range border leaves out is found by the next step.
+4. In every region with more than one component so far, all pairs between different components are compared by sketch,
+   in regions of up to ``SMALL`` rows inside the sorted order, in larger ones block by block. What the sketch leaves is
+   confirmed on the full sets, which only rows with a candidate receive. Then the components are joined.
 
 A pair at similarity 0.75 shares two leading minima in a tree with probability 0.56, so all sixteen miss it once in about
-500,000. The number of partitions and the size of a crowd change no result.
+500,000. The sketch floor is the same in regions of every size and lies 7 standard errors below the threshold. The number
+of partitions and the size of a crowd change no result.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ TREES, LEVELS, SHARED, WINDOW = 16, 8, 2, 32
 MINIMA = 256
 #: Links have 100 * intersection >= 75 * union. A sketch estimate below FLOOR is 3.5 standard errors under that.
 PERCENT, FLOOR = 75, 0.65
-#: A region of more rows is compared in blocks. The sketch floor in smaller ones is 7 standard errors below the threshold.
+#: A region of more rows is compared in blocks. The sketch floor in all regions is 7 standard errors below the threshold.
 SMALL, LOW_FLOOR = 128, 0.55
 #: Rows and shingles of a block, and rows of a range at least.
 BLOCK, BLOCK_SHINGLES, RANGE = 1024, 1 << 21, 4096
@@ -40,6 +43,8 @@ BYTES = 8 << 20
 
 _MULTIPLY = _random(11, MINIMA, np.uint32) | np.uint32(1)
 _ADD = _random(12, MINIMA, np.uint32)
+_BLOCK_COLUMNS = ["tree", "region", "class", "root", "own", "block", "with_top", "i", "j"]
+_BLOCK_TYPES = "tree int, region binary, class binary, root binary, own boolean, block int, with_top boolean, i int, j int"
 _EQUAL_HALVES = np.array([(x & 15 == 0) + (x >> 4 == 0) for x in range(256)], np.uint8)
 
 
@@ -184,20 +189,34 @@ def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _crowded(classes: DataFrame) -> DataFrame:
+    """The classes whose region holds another class in some tree, and ``trees``, the bits of those trees.
+
+    Regions are told apart by a hash of 64 bits; two that share one only cost work. Single regions end here: of their rows
+    only hashes are counted.
+    """
+    spot = [F.xxhash64(F.lit(t), F.substring("orders", 2 * LEVELS * t + 1, 2 * SHARED)) for t in range(TREES)]
+    spots = classes.select("class", F.posexplode(F.array(*spot)).alias("tree", "spot"))
+    shared = stored(spots.groupBy("spot").agg(F.count("*").alias("n")).filter("n > 1").select("spot"), "shared-regions")
+    masks = spots.join(shared, "spot", "left_semi").groupBy(F.col("class").alias("_class"))
+    masks = stored(masks.agg(F.expr("bit_or(shiftleft(1, tree))").alias("trees")), "shared-trees")
+    return classes.join(masks, F.col("class") == F.col("_class")).drop("_class")
+
+
 def _regions(classes: DataFrame) -> DataFrame:
-    """Every class in every tree with its minima and its region there; needs ``root`` beside the signature."""
-    trees = classes.select(
-        F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "orders", "class", "n_shingles", "sketch", "root"
-    )
+    """Every class in its shared trees with its minima and its region there; needs ``root`` beside the signature."""
+    shared = F.expr(f"filter(sequence(0, {TREES - 1}), t -> getbit(trees, t) = 1)")
+    trees = classes.select(F.explode(shared).alias("tree"), "orders", "class", "n_shingles", "sketch", "root")
     levels = F.substring("orders", F.col("tree") * (2 * LEVELS) + 1, F.lit(2 * LEVELS))
     rows = trees.select("tree", levels.alias("levels"), "class", "n_shingles", "sketch", "root")
     return rows.withColumn("region", F.substring("levels", 1, 2 * SHARED))
 
 
 def _orders(classes: DataFrame) -> DataFrame:
-    """Every class in every tree, sorted within ranges of the tree's order."""
+    """Every class in its shared trees, sorted within ranges of the tree's order."""
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(parts, classes.count() * TREES // RANGE))
+    rows = classes.agg(F.sum(F.bit_count("trees"))).first()[0] or 0
+    parts = max(1, min(parts, rows // RANGE))
     return _regions(classes).drop("region").repartitionByRange(parts, "tree", "levels", "class").sortWithinPartitions("tree", "levels", "class")
 
 
@@ -229,7 +248,8 @@ def _blocks(classes: DataFrame, regions: DataFrame) -> DataFrame:
     compared with the others only."""
     own = F.col("root") == F.col("top")
     block = F.pmod(F.xxhash64("class"), F.when(own, F.col("top_blocks")).otherwise(F.col("blocks"))).cast("int")
-    rows = _inside(classes, regions).select("tree", "region", "class", "root", own.alias("own"), block.alias("block"), "top_blocks", "blocks")
+    kept = ["tree", "region", "class", "root", "n_shingles", "sketch"]
+    rows = _inside(classes, regions).select(*kept, own.alias("own"), block.alias("block"), "top_blocks", "blocks")
 
     def pair(top: bool, i: F.Column, j: F.Column) -> F.Column:
         return F.struct(F.lit(top).alias("with_top"), i.alias("i"), j.alias("j"))
@@ -241,15 +261,52 @@ def _blocks(classes: DataFrame, regions: DataFrame) -> DataFrame:
     )
     tops = F.transform(F.sequence(F.lit(0), F.col("top_blocks") - 1), lambda k: pair(True, mine, k))
     pairs = F.when(F.col("own"), others).otherwise(F.concat(others, tops))
-    return rows.select("tree", "region", "class", "root", "own", "block", F.explode(pairs).alias("pair")).select(
-        "tree", "region", "class", "root", "own", "block", "pair.*"
-    )
+    return rows.select(*kept, "own", "block", F.explode(pairs).alias("pair")).select(*kept, "own", "block", "pair.*")
+
+
+def _sides(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the rows of both blocks of a pair."""
+    own, block = np.asarray(rows.column("own")), np.asarray(rows.column("block"))
+    with_top, i, j = (rows.column(c)[0].as_py() for c in ("with_top", "i", "j"))
+    return np.flatnonzero(~own & (block == i)), np.flatnonzero(own if with_top else block == j)
+
+
+def _component_numbers(rows: pa.Table) -> np.ndarray:
+    roots = rows.column("root").to_pylist()
+    number = {r: k for k, r in enumerate(dict.fromkeys(roots))}
+    return np.array([number[r] for r in roots])
+
+
+def _sketched(rows: pa.Table) -> pa.Table:
+    """Of the rows of two blocks, those with a candidate of another component on the other side."""
+    rows = rows.combine_chunks()
+    left, right = _sides(rows)
+    keep = np.zeros(len(rows), bool)
+    if len(left) and len(right):
+        root, n = _component_numbers(rows), np.asarray(rows.column("n_shingles")).astype(np.int64)
+        sketch = _fixed(rows.column("sketch"), np.uint8, MINIMA // 2)
+        halves = np.concatenate([sketch >> 4, sketch & 15], axis=1)
+
+        def marks(some: np.ndarray) -> np.ndarray:
+            found = np.zeros((len(some), MINIMA, 16), np.float32)
+            np.put_along_axis(found, halves[some][:, :, None].astype(np.int64), 1, axis=2)
+            return found.reshape(len(some), -1)
+
+        for k in range(0, len(left), BLOCK):
+            for m in range(0, len(right), BLOCK):
+                one, two = left[k : k + BLOCK], right[m : m + BLOCK]
+                estimate = (marks(one) @ marks(two).T / MINIMA - 1 / 16) * 16 / 15
+                near = (estimate >= LOW_FLOOR) & (root[one][:, None] != root[two][None])
+                near &= 100 * np.minimum(n[one][:, None], n[two][None]) >= PERCENT * np.maximum(n[one][:, None], n[two][None])
+                keep[one[near.any(axis=1)]] = True
+                keep[two[near.any(axis=0)]] = True
+    return rows.select(_BLOCK_COLUMNS).filter(pa.array(keep))
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """The size of each set's intersection with each of the others. Shingles of few pairs are counted pair by pair, the
     others by products of 0-1 matrices."""
-    counts = np.zeros((len(left), len(right)), np.float32)
+    counts = np.zeros((len(left), len(right)), np.int64)
     one, two = np.concatenate(left), np.concatenate(right)
     words = np.intersect1d(one, two)
     if not len(words):
@@ -282,28 +339,23 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
             in_side = where[a] >= 0
             side[r[in_side], where[a[in_side]]] = 1
             sides.append(side)
-        counts += sides[0] @ sides[1].T
+        counts += (sides[0] @ sides[1].T).astype(np.int64)  # at most 2,048, exact
     return counts
 
 
 def _linked(rows: pa.Table) -> pa.Table:
     """Of the links between two blocks, those that join components not joined yet."""
     rows = rows.combine_chunks()
-    own, block = np.asarray(rows.column("own")), np.asarray(rows.column("block"))
-    with_top, i, j = (rows.column(c)[0].as_py() for c in ("with_top", "i", "j"))
-    left = np.flatnonzero(~own & (block == i))
-    right = np.flatnonzero(own if with_top else block == j)
+    left, right = _sides(rows)
     a, b = [], []
     if len(left) and len(right):
-        keys, roots = rows.column("class").to_pylist(), rows.column("root").to_pylist()
+        keys, root = rows.column("class").to_pylist(), _component_numbers(rows)
         sets = [np.frombuffer(x.as_buffer(), U64) for x in rows.column("shingles")]
-        number = {r: k for k, r in enumerate(dict.fromkeys(roots))}
-        root = np.array([number[r] for r in roots])
         sizes = np.array([len(x) for x in sets], np.int64)
-        shared = shared_counts([sets[k] for k in left], [sets[k] for k in right]).astype(np.int64)
+        shared = shared_counts([sets[k] for k in left], [sets[k] for k in right])
         holds = 100 * shared >= PERCENT * (sizes[left][:, None] + sizes[right][None] - shared)
         holds &= root[left][:, None] != root[right][None]
-        above = list(range(len(number)))
+        above = list(range(root.max() + 1))
 
         def top(x: int) -> int:
             while above[x] != x:
@@ -322,8 +374,11 @@ def _linked(rows: pa.Table) -> pa.Table:
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``class`` and its whole shingle set for the given classes, from the text of the document that stands for each."""
-    wanted = classes.select(F.col("doc_id").alias("_stands"), F.col("class").alias("_class"))
+    """``class`` and its whole shingle set for the given classes, from the text of the document that stands for each.
+
+    The wanted ids are written alone, so Spark knows their size: few are broadcast and no text moves.
+    """
+    wanted = stored(classes.select(F.col("doc_id").alias("_stands"), F.col("class").alias("_class")), "wanted")
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_stands"))).select("_class", "text")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,10 +423,10 @@ def near_groups(docs: DataFrame) -> DataFrame:
     """
     rows = stored(signed(docs), "signatures")
     classes = stored(rows.filter("n_shingles > 0").dropDuplicates(["class"]).withColumn("root", F.col("class")), "classes")
+    classes = stored(_crowded(classes), "crowded-classes")
     pairs = stored(_orders(classes).mapInArrow(_forest, "a binary, b binary").distinct(), "candidates")
     ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct(), "candidate-ends")
-    near = stored(classes.join(ends, F.col("class") == F.col("end"), "left_semi"), "near-classes")
-    sets = stored(_sets_of(docs, near), "sets")
+    sets = stored(_sets_of(docs, classes.join(ends, F.col("class") == F.col("end"), "left_semi")), "sets")
     links = stored(_confirmed(pairs, sets), "links")
     labels = stored(components(links), "labels")
     labelled = classes.drop("root").join(labels, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class")).drop("node")
@@ -389,7 +444,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
         .join(pairs, ["a", "b"], "left_anti")
     )
     more = stored(more, "candidates")
-    blocks = stored(_blocks(labelled, regions.filter(F.col("rows") > SMALL)), "blocks")
+    pair_of_blocks = ["tree", "region", "with_top", "i", "j"]
+    blocks = _blocks(labelled, regions.filter(F.col("rows") > SMALL)).groupBy(*pair_of_blocks).applyInArrow(_sketched, _BLOCK_TYPES)
+    blocks = stored(blocks, "blocks")
     ends = more.select(F.explode(F.array("a", "b")).alias("end")).unionByName(blocks.select(F.col("class").alias("end"))).distinct()
     known = sets.select(F.col("class").alias("_known"))
     ends = stored(ends.join(known, F.col("end") == F.col("_known"), "left_anti"), "candidate-ends")
@@ -398,7 +455,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
         sets = sets.unionByName(stored(added, "sets"))
     found = stored(_confirmed(more, sets), "links")
     compared = blocks.join(sets.withColumnRenamed("class", "_class"), F.col("class") == F.col("_class")).drop("_class")
-    compared = compared.groupBy("tree", "region", "with_top", "i", "j").applyInArrow(_linked, "a binary, b binary")
+    compared = compared.groupBy(*pair_of_blocks).applyInArrow(_linked, "a binary, b binary")
     found = found.unionByName(stored(compared.distinct(), "links"))
     labels = stored(components(links.unionByName(found)), "labels")
     lowest = stored(rows.groupBy("class").agg(F.min("doc_id").alias("low")), "lowest")
