@@ -103,6 +103,19 @@ def test_messages_are_taken_once_and_a_replay_takes_the_same(spark, tables):
     assert unseen(messages(spark, 8, 8), None).count() == 1
 
 
+def test_messages_meet_short_ranges_without_pairs(spark):
+    """Every second offset is held by a range of its own: messages and ranges are swept, not compared with each other."""
+    offsets = spark.range(20_000).selectExpr("'t' AS topic", "0 AS partition", "id AS offset", "CAST(id AS STRING) AS value")
+    nowhere = spark.range(3).selectExpr("CAST(NULL AS STRING) AS topic", "0 AS partition", "2 * id AS offset", "'x' AS value")
+    ledger = offset_ranges(offsets.where("offset % 2 = 0")).unionByName(offset_ranges(nowhere))
+    out = unseen(offsets.unionByName(nowhere), ledger)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "collect_list" not in plan
+    assert out.columns == ["topic", "partition", "offset", "value"]
+    assert out.where("topic = 't' AND offset % 2 = 1").count() == 10_000 and out.where("topic IS NULL").count() == 3
+    assert out.count() == 10_003
+
+
 def test_late_rows_are_neither_kept_nor_repeats(spark):
     delivered = spark.createDataFrame(
         [("a", day(1, 5), 1), ("b", day(1, 9), 1), ("b", day(1, 9), 2), ("c", day(1, 2), 2), ("d", day(1, 8), 2), ("c", day(1, 2), 3)],

@@ -31,16 +31,19 @@ def offset_ranges(messages: DataFrame) -> DataFrame:
 def unseen(messages: DataFrame, ledger: DataFrame | None) -> DataFrame:
     """The messages whose offsets no range of the ledger holds, each offset once.
 
-    Ranges are cut at blocks, so they meet messages on topic, partition and block, never all of a topic's messages.
+    Ranges and messages of a block are swept together in the order of offsets: an offset is held where a range that starts at it
+    or before reaches it. Work grows with messages + ranges, however short the ranges are. Ranges are cut at blocks, so no
+    task gets all of a topic's messages. A message without topic or partition is in no range.
     """
     once = messages.dropDuplicates([*PLACE, "offset"])
     if ledger is None:
         return once
-    block = F.floor(F.col("offset") / BLOCK)
-    ranges = ledger.groupBy(*PLACE, F.floor(F.col("first") / BLOCK).alias("_block")).agg(F.collect_list(F.struct("first", "last")).alias("_ranges"))
-    held = once.withColumn("_block", block).join(ranges, [*PLACE, "_block"], "left")
-    seen = F.exists("_ranges", lambda r: (r["first"] <= F.col("offset")) & (F.col("offset") <= r["last"]))
-    return held.where(~F.coalesce(seen, F.lit(False))).select(*once.columns)
+    asked = once.select(*PLACE, F.col("offset").alias("_at"), F.lit(1).alias("_asks"), F.struct(*once.columns).alias("_message"))
+    ranges = ledger.dropna(subset=PLACE).select(*PLACE, F.col("first").alias("_at"), F.lit(0).alias("_asks"), F.col("last").alias("_until"))
+    stream = asked.unionByName(ranges, allowMissingColumns=True).withColumn("_block", F.floor(F.col("_at") / BLOCK))
+    so_far = Window.partitionBy(*PLACE, "_block").orderBy("_at", "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    swept = stream.withColumn("_reached", F.max("_until").over(so_far)).where("_asks = 1")
+    return swept.where(~F.coalesce(F.col("_reached") >= F.col("_at"), F.lit(False))).select("_message.*")
 
 
 def take_messages(tables: Tables, feed: str, messages: DataFrame, batch_id: int) -> dict:
