@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from conftest import day, rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.conform import raw_values
 from tidemark.sources.landing import by_header, land, stored_names
-from tidemark.plans.retail import ORDER_ITEMS, PRODUCTS
+from tidemark.plans.retail import ORDER_ITEMS, ORDERS, PRODUCTS
+from tidemark.plans.streamed import _land_text
 from tidemark.streaming import entities
 from tidemark.streaming.clicks import late_rows
 from tidemark.streaming.ingest import ingest_files
@@ -116,6 +119,19 @@ def test_messages_meet_short_ranges_without_pairs(spark):
     assert out.count() == 10_003
 
 
+def test_nothing_is_held_in_memory_while_files_land(spark, tmp_path):
+    held = spark.sparkContext._jsc.getPersistentRDDs
+    before = len(held())
+    found = land(spark, [put(tmp_path, "a.json", '{"a": 1}\nno json\n')], "json")
+    assert len(held()) == before and found.rows.count() == 2
+
+
+def test_text_lands_in_as_many_files_as_its_tasks_give(spark, tmp_path):
+    site = SimpleNamespace(landing=str(tmp_path), lake=SimpleNamespace(spark=spark))
+    _land_text(site, ORDERS, "all", spark.range(700).selectExpr("CAST(id AS STRING) AS value").repartition(7))
+    assert len(list((tmp_path / ORDERS.feed / "all").glob("part-*.json"))) == 7
+
+
 def test_late_rows_are_neither_kept_nor_repeats(spark):
     delivered = spark.createDataFrame(
         [("a", day(1, 5), 1), ("b", day(1, 9), 1), ("b", day(1, 9), 2), ("c", day(1, 2), 2), ("d", day(1, 8), 2), ("c", day(1, 2), 3)],

@@ -77,14 +77,15 @@ def ingest_once(lake: Lake) -> DataFrame:
 
 
 def _land_text(site: Site, entity: Entity, part: str, lines: DataFrame, header: str | None = None, files: int = 4) -> None:
-    """Land a frame of text ``value`` as files, each with ``header`` as its first line."""
-    dealt = lines.withColumns({"_file": F.pmod(F.xxhash64("value"), F.lit(files)).cast("int"), "_place": F.lit(1)})
-    if header is not None:
-        first = site.lake.spark.range(files).select(F.lit(header).alias("value"), F.col("id").cast("int").alias("_file"), F.lit(0).alias("_place"))
-        dealt = dealt.unionByName(first)
-    ordered = dealt.repartitionById(files, "_file").sortWithinPartitions("_file", "_place").select("value")
+    """Land a frame of text ``value`` as files: as its tasks give them, or ``files`` of them with ``header`` as their first line."""
     folder = f"{site.landing}/{entity.feed}/{part}"
-    ordered.write.text(folder)
+    if header is None:
+        lines.select("value").write.text(folder)
+    else:
+        dealt = lines.withColumns({"_file": F.pmod(F.xxhash64("value"), F.lit(files)).cast("int"), "_place": F.lit(1)})
+        first = site.lake.spark.range(files).select(F.lit(header).alias("value"), F.col("id").cast("int").alias("_file"), F.lit(0).alias("_place"))
+        ordered = dealt.unionByName(first).repartitionById(files, "_file").sortWithinPartitions("_file", "_place")
+        ordered.select("value").write.text(folder)
     names = Files(site.lake.spark)
     for name in names.names(folder):  # the feed's files carry its extension
         if name.endswith(".txt"):

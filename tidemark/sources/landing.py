@@ -7,7 +7,6 @@ from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,7 +112,7 @@ def fields_of(lines: DataFrame) -> DataFrame:
 
 
 def read_json(spark: SparkSession, paths: Sequence[str], known: Mapping[str, str]) -> Landed | None:
-    """JSON lines, all values as text, read once as text (A3)."""
+    """JSON lines, all values as text, read as text (A3)."""
     lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias(SOURCE), F.col("value").alias("line"))
     return landed_json(fields_of(lines), known, paths)
 
@@ -122,14 +121,13 @@ def landed_json(rows: DataFrame, known: Mapping[str, str], paths: Sequence[str]
     """JSON objects as columns; what is no JSON object is kept whole in ``_corrupt_record``.
 
     The names that occur are collected by an aggregate that starts in each task, so the driver gets as many rows as there will be
-    columns. Names that differ in case only are one column. Nested values stay JSON where no files are named.
+    columns. Names that differ in case only are one column. Nested values stay JSON where no files are named. The lines are read
+    once for the names and once for the rows: kept parsed, they would take several times the files' size.
     """
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     corrupt = F.array(F.struct(F.lit(CORRUPT).alias("key"), F.lit("").alias("value")))
     pairs = rows.select(F.inline(F.coalesce(F.map_entries("fields"), corrupt)))
     found = pairs.groupBy("key").agg(F.max(F.col("value").rlike(r"^[{\[]")).alias("nested")).orderBy("key").collect()
     if not found:
-        rows.unpersist()
         return None
     nested = _nested_types(rows.sparkSession, paths, [r.key for r in found if r.nested]) if paths else {}
     names: list[tuple[str, str]] = []
@@ -144,7 +142,7 @@ def landed_json(rows: DataFrame, known: Mapping[str, str], paths: Sequence[str]
         if column == CORRUPT:
             values.insert(0, F.when(F.col("fields").isNull(), F.col("line")))
         columns.append(F.coalesce(*values).alias(column))
-    return Landed(rows.select(*columns, SOURCE), names, rows)
+    return Landed(rows.select(*columns, SOURCE), names)
 
 
 def _value(name: str, kind: T.DataType | None) -> Column:
@@ -165,15 +163,10 @@ def _nested_types(spark: SparkSession, paths: Sequence[str], names: Sequence[str
 
 @dataclass(frozen=True)
 class Landed:
-    """Rows of landing files, each sent name with the column it is kept under, and what to release when the rows are written."""
+    """Rows of landing files, and each sent name with the column it is kept under."""
 
     rows: DataFrame
     names: list[tuple[str, str]]
-    held: DataFrame | None = None
-
-    def release(self) -> None:
-        if self.held is not None:
-            self.held.unpersist()
 
 
 READERS = {"csv": read_csv, "json": read_json}
