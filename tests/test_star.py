@@ -9,7 +9,7 @@ import pytest
 from conftest import day, rows
 from pyspark.sql import functions as F
 
-from tidemark.operators.asof import as_of_join
+from tidemark.operators.asof import as_of_join, as_of_lookup
 from tidemark.operators.combine import group_maximum, join_aggregated, new_columns, union_drifting
 from tidemark.plans import gate, reports, star
 
@@ -49,6 +49,27 @@ def test_as_of_join_equals_a_plain_loop_with_a_hot_key(spark, ranges):
     assert rows(out, "order_id", "product_sk") == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("few", [1, 300])
+def test_as_of_lookup_equals_the_ranges(spark, few):
+    """Whether the arrays hold all versions of a key or the ranges do the work."""
+    rng = random.Random(5)
+    versions = [("H", f"h{n}", day(1) + dt.timedelta(seconds=n), day(1) + dt.timedelta(seconds=n + 1)) for n in range(0, 300, 2)]
+    versions += [(f"K{n}", f"k{n}", day(1), None) for n in range(20)] + [(None, "none", day(1), None), ("K1", "timeless", None, None)]
+    facts = [(f"O{n}", rng.choice(["H", "H", None, *(f"K{n}" for n in range(25))]), rng.choice([None, day(1) + dt.timedelta(seconds=rng.randrange(-50, 350))])) for n in range(800)]
+    fact, dim = spark.createDataFrame(facts, FACTS), spark.createDataFrame(versions, VERSIONS)
+    out = as_of_lookup(fact, dim, "product_id", "ts", "product_sk", few)
+    assert rows(out) == rows(as_of_join(fact, dim, "product_id", "ts", "product_sk")) and out.columns == [*fact.columns, "product_sk"]
+    assert any("as-of" in name for name in out.inputFiles()) == (few == 1)
+
+
+def test_the_fact_moves_no_row_into_ranges(spark):
+    items = spark.createDataFrame([("O1", 1, "P1", 2, 3, 1)], "order_id string, order_item_id int, product_id string, quantity int, unit_price int, freight_value int")
+    orders = spark.createDataFrame([("O1", "C1", day(5), "created")], "order_id string, customer_id string, order_purchase_ts timestamp_ntz, status string")
+    customers = spark.createDataFrame([("C1", "c", day(1), None)], VERSIONS.replace("product", "customer"))
+    fact = star.fact_order_items(items, orders, customers, spark.createDataFrame([("P1", "p", day(1), None)], VERSIONS))
+    assert rows(fact, "order_id", "customer_sk", "product_sk") == [("O1", "c", "p")] and not fact.inputFiles()
+
+
 def test_as_of_join_moves_its_rows_once_and_splits_hot_keys_and_times(spark):
     """Nine of ten facts ask for one key, half of them at one time; the largest task holds at most twice the mean."""
     at = "timestampadd(SECOND, IF(id % 2 = 0, 500, id % 1000), timestamp_ntz'2026-09-01 00:00:00')"
