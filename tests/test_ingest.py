@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from types import SimpleNamespace
 
 from conftest import day, rows
@@ -132,6 +133,24 @@ def test_text_lands_in_as_many_files_as_its_tasks_give(spark, tmp_path):
     assert len(list((tmp_path / ORDERS.feed / "all").glob("part-*.json"))) == 7
 
 
+def test_a_load_holds_nothing_in_memory_and_leaves_no_folder(spark, tables, tmp_path, monkeypatch):
+    held, seen, write = spark.sparkContext._jsc.getPersistentRDDs, [], tables.write_log
+    before = len(held())
+    monkeypatch.setattr(tables, "write_log", lambda *a, **k: (seen.append(len(held())), write(*a, **k))[1])
+    path = put(tmp_path, "p.json", json.dumps({"product_id": "P1", "list_price": "2", "op": "I", "change_ts": "2026-09-01 00:00:00", "lsn": "1"}) + "\n")
+    ingest_files(tables, PRODUCTS.feed, PRODUCTS.fmt, [path], 1)
+    entities.process_batch(tables, PRODUCTS, 1)
+    lines = "order_id,order_item_id,product_id,quantity,unit_price,freight_value\nO1,1, P1 ,2,1.00,0\nO2,1,P9,2,x,0\n"
+    ingest_files(tables, ORDER_ITEMS.feed, ORDER_ITEMS.fmt, [put(tmp_path, "i.csv", lines)], 1)
+    assert entities.process_batch(tables, ORDER_ITEMS, 1)["rows_quarantined"] == 1
+    assert seen and set(seen) == {before}
+    assert rows(tables.read("silver_order_items"), "order_id", "product_id") == [("O1", "P1")]
+    (bad,) = tables.read("silver_order_items_quarantine").collect()
+    assert bad["_failed_rules"] == ["price_parsed", "price_positive", "product_exists"]
+    assert bad["_raw"] == {"order_id": "O2", "order_item_id": "1", "product_id": "P9", "quantity": "2", "unit_price": "x", "freight_value": "0"}
+    assert not list((tmp_path / "lake" / "_checked").iterdir())
+
+
 def test_late_rows_are_neither_kept_nor_repeats(spark):
     delivered = spark.createDataFrame(
         [("a", day(1, 5), 1), ("b", day(1, 9), 1), ("b", day(1, 9), 2), ("c", day(1, 2), 2), ("d", day(1, 8), 2), ("c", day(1, 2), 3)],
