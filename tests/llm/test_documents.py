@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import bytebpe, exact, hmm, minhash, mixing, pii, quality
+from tidemark.llm.common import marked
 
 SPACES = " \t\n\x0b\x0c\r"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -172,6 +173,22 @@ def test_pairs_in_a_crowd_are_all_found(spark, monkeypatch, n, planted, block):
     assert rows == {k: k - k % 2 if k < 2 * planted else k for k in range(n)}
 
 
+def test_only_likely_texts_move_to_the_wanted_ids(spark, capsys):
+    frame = documents(spark, [(k, f"t{k}") for k in range(1000)] + [(None, "none"), (7, "again")])
+    wanted = spark.createDataFrame([(k,) for k in range(0, 1000, 50)] + [(None,)], "wanted long")
+    seen = marked(frame, "doc_id", wanted).collect()
+    assert len(seen) == 1002 and seen[0].asDict().keys() - set(frame.columns) == {"_marked"}
+    assert all(r._marked for r in seen if r.doc_id is None or r.doc_id % 50 == 0) and sum(r._marked for r in seen) < 150
+    assert not any(r._marked for r in marked(frame, "doc_id", wanted.limit(0)).collect())
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the wanted ids are too many for Spark
+    try:
+        minhash._sets_of(frame, spark.createDataFrame([(1, b"x")], "doc_id long, class binary")).explain()
+        assert "getbit" in capsys.readouterr().out
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_shared_counts_match_sets():
     random = np.random.default_rng(6)
     make = lambda n: [np.unique(random.integers(0, 60, int(random.integers(1, 40))).astype(np.uint64)) for _ in range(n)]

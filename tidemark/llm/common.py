@@ -23,6 +23,28 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a table of marks: so many for each id, and so many in all. With more ids, more rows pass that are not wanted.
+BITS_EACH, MOST_BITS = 16, 1 << 26
+
+
+def marked(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """``df`` with ``_marked``: true for every row whose ``key`` is among ``ids`` (one column, written), and for few others.
+
+    The ids are kept as bits of their hashes, 64 in a row, at most ``MOST_BITS``, so the table is broadcast whatever the number of
+    ids. A join that needs the ids themselves can be made of the marked rows alone: the others never move.
+    """
+    bits = min(MOST_BITS, 1 << max(10, (BITS_EACH * ids.count()).bit_length()))
+
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(bits).cast("long"))
+
+    set_ = ids.select(place(ids.columns[0]).alias("_place")).select(F.expr("_place div 64").alias("_word"), F.expr("CAST(_place % 64 AS INT)").alias("_bit"))
+    words = set_.groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    placed = df.withColumn("_place", place(key))
+    found = placed.join(F.broadcast(words), F.expr("_place div 64 = _word"), "left")
+    return found.withColumn("_marked", F.expr("coalesce(getbit(_bits, CAST(_place % 64 AS INT)) = 1, false)")).drop("_place", "_word", "_bits")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import marked, stored
 from tidemark.llm.components import components
 from tidemark.llm.words import U64, _random, mixed, shingle_sets
 
@@ -376,10 +376,11 @@ def _linked(rows: pa.Table) -> pa.Table:
 def _sets_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """``class`` and its whole shingle set for the given classes, from the text of the document that stands for each.
 
-    The wanted ids are written alone, so Spark knows their size: few are broadcast and no text moves.
+    The wanted ids are written alone. Texts are marked by their bits before they meet the ids themselves, so few others move.
     """
     wanted = stored(classes.select(F.col("doc_id").alias("_stands"), F.col("class").alias("_class")), "wanted")
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_stands"))).select("_class", "text")
+    likely = marked(docs.select("doc_id", "text"), "doc_id", wanted.select("_stands")).where("_marked").drop("_marked")
+    texts = likely.join(wanted, F.col("doc_id").eqNullSafe(F.col("_stands"))).select("_class", "text")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -472,6 +473,10 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
-    """One document of each component stays; dropped ids are joined away."""
+    """One document of each component stays; dropped ids are joined away. Only rows marked by their bits meet the ids themselves."""
     dropped = near_groups(docs).filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("dropped_id"))
-    return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
+    dropped = stored(dropped, "dropped")
+    rows = marked(docs, "doc_id", dropped)
+    likely = rows.where("_marked").drop("_marked")
+    stay = likely.join(dropped, likely["doc_id"] == dropped["dropped_id"], "left_anti")
+    return rows.where("NOT _marked").drop("_marked").unionByName(stay)
