@@ -7,6 +7,8 @@ import json
 import os
 
 import time
+from pathlib import Path
+from threading import Barrier
 
 import pytest
 from conftest import day, rows
@@ -207,6 +209,33 @@ def test_a_log_is_compacted_in_levels(spark, tables):
     assert tables.log("log", after=30).count() == 8 and tables.compact("log", upto=0, fan=3) == 0
 
 
+def test_rows_of_a_load_go_to_the_log_without_moving(spark, tables, tmp_path, monkeypatch):
+    rows_ = spark.range(400, numPartitions=3).selectExpr("concat('k', id) AS k", "id AS v")
+    assert tables.write_log(rows_, "log", 1, ["k"], gathered=False) == 400
+    (entry,) = tables.manifest("log").entries("loads")
+    assert sorted(len(list(Path(f"{entry.folder}/{BUCKET}={b}").glob("*.parquet"))) for b in range(4)) == [3] * 4
+    assert tables.touched_buckets("log", [1]) == [0, 1, 2, 3]
+    assert rows(tables.log("log"), "v") == [(v,) for v in sorted(range(400), key=lambda v: repr((v,)))]
+    seen, write = {}, tables.write_log
+    monkeypatch.setattr(tables, "write_log", lambda df, name, *a, **k: (seen.update({name: k}), write(df, name, *a, **k))[1])
+    lines = "O1,1,P1,1,5.00,0\nO2,1,P1,1,x,0\n"
+    ingest_files(tables, "order_items", "csv", [put(tmp_path / "f", "1.csv", HEADERS["order_items"] + lines)], 1)
+    tables.write(spark.createDataFrame([("P1",)], "product_id string"), "silver_products")
+    assert entities.load_batch(tables, ORDER_ITEMS, 1)["rows_valid"] == 1
+    assert seen["silver_order_items_log"] == {"gathered": False}
+
+
+def test_independent_tables_are_written_at_once():
+    meet = Barrier(2, timeout=30)
+
+    def write(rows_):
+        meet.wait()
+        return rows_
+
+    found = gold._side_by_side({"b": lambda: write(2), "a": lambda: write(1)})
+    assert found == [{"table": "b", "rows": 2}, {"table": "a", "rows": 1}]
+
+
 def test_a_merge_reads_present_rows_and_new_ones_whatever_the_log(spark, tables, tmp_path):
     """The same order lines are delivered eight times over: the log grows, the rows read by a merge do not."""
     lines = "".join(f"O{n},1,P1,1,5.00,0\n" for n in range(50))
