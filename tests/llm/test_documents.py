@@ -10,8 +10,10 @@ from itertools import pairwise
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import bytebpe, exact, hmm, minhash, mixing, pii, quality
+from tidemark.llm import components as components_module
 from tidemark.llm.common import marked
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -189,6 +191,41 @@ def test_only_likely_texts_move_to_the_wanted_ids(spark, capsys):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_one_row_of_each_class_goes_on(spark):
+    texts = [(k, prose(k, 60)) for k in range(300)]
+    edited = texts[7][1].split()
+    edited[30] = "other"
+    texts += [(300, " ".join(edited)), (301, texts[9][1])]
+    rows = minhash.stored(minhash.signed(documents(spark, texts)), "signatures")
+    lowest = minhash.stored(rows.groupBy("class").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies")), "lowest")
+    classes = minhash._classes(rows, lowest)
+    assert classes.select("class").distinct().count() == classes.count() == 301
+    classes = minhash.stored(classes, "classes")
+    close = minhash._crowded(classes)
+    assert {r.doc_id for r in close.collect()} >= {7, 300} and close.count() < 10
+
+
+def test_components_end_with_stars(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components_module, "stored", lambda df, purpose: written.append(purpose) or minhash.stored(df, purpose))
+    stars = [(k, k % 3) for k in range(3, 40)]
+    found = components_module.components(spark.createDataFrame(stars, "a long, b long"))
+    assert sorted(map(tuple, found.collect())) == [(k, k % 3) for k in range(40)] and written == ["edges"]
+    chain = spark.createDataFrame([(k, k + 1) for k in range(50)] + [(7, 7), (None, 3), (60, 61), (61, 60)], "a long, b long")
+    assert sorted(map(tuple, components_module.components(chain).collect())) == [(k, 0) for k in range(51)] + [(60, 60), (61, 60)]
+
+
+def test_only_the_graph_of_components_is_solved_again(spark, monkeypatch):
+    sizes = []
+    solve = components_module.components
+    monkeypatch.setattr(minhash, "components", lambda edges: sizes.append(edges.distinct().count()) or solve(edges))
+    labelled = spark.createDataFrame([(bytes([k]), bytes([k // 10 * 10])) for k in range(40)], "class binary, root binary")
+    links = spark.createDataFrame([(bytes([3]), bytes([17])), (bytes([5]), bytes([18])), (bytes([12]), bytes([39]))], "a binary, b binary")
+    roots = {r.node[0]: r.root[0] for r in minhash._joined(labelled, links).collect()}
+    assert roots == {k: 20 if k // 10 == 2 else 0 for k in range(40)} and sizes == [2]
+    assert minhash._joined(labelled, links.limit(0)).count() == 40 and sizes == [2]
+
+
 def test_shared_counts_match_sets():
     random = np.random.default_rng(6)
     make = lambda n: [np.unique(random.integers(0, 60, int(random.integers(1, 40))).astype(np.uint64)) for _ in range(n)]

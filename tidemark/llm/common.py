@@ -24,7 +24,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 
 #: Bits of a table of marks: so many for each id, and so many in all. With more ids, more rows pass that are not wanted.
-BITS_EACH, MOST_BITS = 16, 1 << 26
+BITS_EACH, MOST_BITS = 64, 1 << 26
 
 
 def marked(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:

@@ -3,14 +3,15 @@
 1. Texts become sets of five-word shingles; a set becomes 256 minima. Documents with the same set are one class, of
    which one goes on, so exact copies never meet as pairs.
 2. A region is all classes that share the ``SHARED`` leading minima of a tree. Regions are counted by their hash first; a
-   class goes on only in the trees where its region holds another class, so most rows never enter an order.
+   class goes on only in the trees where its region holds another class, so most rows never enter an order. Before every
+   join on classes or regions, rows are marked by a broadcast table of bits, so signatures and sets that cannot match stay.
 3. Sixteen signature orders: each tree sorts its rows by eight minima of its own. Neighbours within ``WINDOW`` places
    that share their region are first candidates. A sketch discards those far below the threshold; of the others each
    range offers a spanning forest, whose links are confirmed on the full sets. This only saves work: what a window or a
    range border leaves out is found by the next step.
 4. In every region with more than one component so far, all pairs between different components are compared by sketch,
    in regions of up to ``SMALL`` rows inside the sorted order, in larger ones block by block. What the sketch leaves is
-   confirmed on the full sets, which only rows with a candidate receive. Then the components are joined.
+   confirmed on the full sets, which only rows with a candidate receive. Then the graph of the components alone is solved.
 
 A pair at similarity 0.75 shares two leading minima in a tree with probability 0.56, so all sixteen miss it once in about
 500,000. The sketch floor is the same in regions of every size and lies 7 standard errors below the threshold. The number
@@ -189,18 +190,28 @@ def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _classes(rows: DataFrame, lowest: DataFrame) -> DataFrame:
+    """One signed row of each class that has shingles, with ``root``, the class itself. Only rows of classes with copies move."""
+    repeated = stored(lowest.filter("copies > 1").select("class"), "repeated-classes")
+    rows = marked(rows.filter("n_shingles > 0"), "class", repeated)
+    one = rows.where("_marked").drop("_marked").dropDuplicates(["class"])
+    return rows.where("NOT _marked").drop("_marked").unionByName(one).withColumn("root", F.col("class"))
+
+
 def _crowded(classes: DataFrame) -> DataFrame:
     """The classes whose region holds another class in some tree, and ``trees``, the bits of those trees.
 
     Regions are told apart by a hash of 64 bits; two that share one only cost work. Single regions end here: of their rows
-    only hashes are counted.
+    only hashes are counted. Rows meet the shared regions, and classes their trees, after they were marked by bits, so few others move.
     """
     spot = [F.xxhash64(F.lit(t), F.substring("orders", 2 * LEVELS * t + 1, 2 * SHARED)) for t in range(TREES)]
     spots = classes.select("class", F.posexplode(F.array(*spot)).alias("tree", "spot"))
     shared = stored(spots.groupBy("spot").agg(F.count("*").alias("n")).filter("n > 1").select("spot"), "shared-regions")
-    masks = spots.join(shared, "spot", "left_semi").groupBy(F.col("class").alias("_class"))
+    likely = marked(spots, "spot", shared).where("_marked").drop("_marked")
+    masks = likely.join(shared, "spot", "left_semi").groupBy(F.col("class").alias("_class"))
     masks = stored(masks.agg(F.expr("bit_or(shiftleft(1, tree))").alias("trees")), "shared-trees")
-    return classes.join(masks, F.col("class") == F.col("_class")).drop("_class")
+    likely = marked(classes, "class", masks.select("_class")).where("_marked").drop("_marked")
+    return likely.join(masks, F.col("class") == F.col("_class")).drop("_class")
 
 
 def _regions(classes: DataFrame) -> DataFrame:
@@ -240,7 +251,10 @@ def _open_regions(classes: DataFrame) -> DataFrame:
 
 
 def _inside(classes: DataFrame, regions: DataFrame) -> DataFrame:
-    return _regions(classes).join(regions, (F.col("tree") == F.col("_tree")) & (F.col("region") == F.col("_region")))
+    """The rows of the given regions; rows of others are left where they are but for those their bits cannot tell."""
+    rows = _regions(classes).withColumn("_spot", F.xxhash64("tree", "region"))
+    likely = marked(rows, "_spot", regions.select(F.xxhash64("_tree", "_region"))).where("_marked").drop("_marked", "_spot")
+    return likely.join(regions, (F.col("tree") == F.col("_tree")) & (F.col("region") == F.col("_region")))
 
 
 def _blocks(classes: DataFrame, regions: DataFrame) -> DataFrame:
@@ -414,6 +428,19 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.mapInArrow(check, "a binary, b binary")
 
 
+def _joined(labelled: DataFrame, found: DataFrame) -> DataFrame:
+    """``node, root`` of every class after links between components (``found``, written): only the components' graph is solved."""
+    nodes = labelled.select(F.col("class").alias("node"), "root")
+    if found.isEmpty():
+        return nodes
+    ends = found
+    for end in ("a", "b"):
+        tops = nodes.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+        ends = ends.join(tops, F.col(end) == F.col("_node")).withColumn(end, F.col("_root")).drop("_node", "_root")
+    tops = stored(components(ends).select(F.col("node").alias("_node"), F.col("root").alias("_root")), "labels")
+    return nodes.join(tops, F.col("root") == F.col("_node"), "left").select("node", F.coalesce("_root", "root").alias("root"))
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
@@ -423,15 +450,18 @@ def near_groups(docs: DataFrame) -> DataFrame:
     as copies of that document. An empty table gives an empty result. No text is cut and no partner list is capped.
     """
     rows = stored(signed(docs), "signatures")
-    classes = stored(rows.filter("n_shingles > 0").dropDuplicates(["class"]).withColumn("root", F.col("class")), "classes")
+    lowest = stored(rows.groupBy("class").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies")), "lowest")
+    classes = stored(_classes(rows, lowest), "classes")
     classes = stored(_crowded(classes), "crowded-classes")
     pairs = stored(_orders(classes).mapInArrow(_forest, "a binary, b binary").distinct(), "candidates")
     ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct(), "candidate-ends")
     sets = stored(_sets_of(docs, classes.join(ends, F.col("class") == F.col("end"), "left_semi")), "sets")
     links = stored(_confirmed(pairs, sets), "links")
     labels = stored(components(links), "labels")
-    labelled = classes.drop("root").join(labels, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class")).drop("node")
-    labelled = stored(labelled, "labelled-classes")
+    marks = marked(classes, "class", labels.select("node"))
+    linked = marks.where("_marked").drop("root", "_marked").join(labels, F.col("class") == F.col("node"), "left").drop("node")
+    linked = linked.withColumn("root", F.coalesce("root", "class"))
+    labelled = stored(marks.where("NOT _marked").drop("_marked").unionByName(linked), "labelled-classes")
     regions = stored(_open_regions(labelled), "regions")
     small = _inside(labelled, regions.filter(F.col("rows") <= SMALL)).select("tree", "levels", "class", "n_shingles", "sketch", "root", "region")
     more = (
@@ -448,18 +478,19 @@ def near_groups(docs: DataFrame) -> DataFrame:
     pair_of_blocks = ["tree", "region", "with_top", "i", "j"]
     blocks = _blocks(labelled, regions.filter(F.col("rows") > SMALL)).groupBy(*pair_of_blocks).applyInArrow(_sketched, _BLOCK_TYPES)
     blocks = stored(blocks, "blocks")
-    ends = more.select(F.explode(F.array("a", "b")).alias("end")).unionByName(blocks.select(F.col("class").alias("end"))).distinct()
+    in_pairs = stored(more.select(F.explode(F.array("a", "b")).alias("end")).distinct(), "candidate-ends")
+    in_blocks = stored(blocks.select(F.col("class").alias("end")).distinct(), "candidate-ends")
     known = sets.select(F.col("class").alias("_known"))
-    ends = stored(ends.join(known, F.col("end") == F.col("_known"), "left_anti"), "candidate-ends")
+    ends = stored(in_pairs.union(in_blocks).distinct().join(known, F.col("end") == F.col("_known"), "left_anti"), "candidate-ends")
     if not ends.isEmpty():
         added = _sets_of(docs, classes.join(ends, F.col("class") == F.col("end"), "left_semi"))
         sets = sets.unionByName(stored(added, "sets"))
-    found = stored(_confirmed(more, sets), "links")
-    compared = blocks.join(sets.withColumnRenamed("class", "_class"), F.col("class") == F.col("_class")).drop("_class")
+    found = _confirmed(more, marked(sets, "class", in_pairs).where("_marked"))
+    wanted = marked(sets, "class", in_blocks).where("_marked").select(F.col("class").alias("_class"), "shingles")
+    compared = blocks.join(wanted, F.col("class") == F.col("_class")).drop("_class")
     compared = compared.groupBy(*pair_of_blocks).applyInArrow(_linked, "a binary, b binary")
-    found = found.unionByName(stored(compared.distinct(), "links"))
-    labels = stored(components(links.unionByName(found)), "labels")
-    lowest = stored(rows.groupBy("class").agg(F.min("doc_id").alias("low")), "lowest")
+    found = stored(found.unionByName(compared.distinct()), "links")
+    labels = stored(_joined(labelled, found), "labels")
     labelled = lowest.join(labels, F.col("class") == F.col("node")).select("class", "root", "low")
     joint = labelled.groupBy(F.col("root").alias("of")).agg(F.min("low").alias("joint"))
     joint = labelled.join(joint, F.col("root") == F.col("of")).select(F.col("class").alias("_class"), "joint")
