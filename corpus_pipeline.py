@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytebpe, exact, minhash, mixing, quality
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import in_small_batches, stored, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, source, n_tokens, ids`` of every row."""
     ids = bytebpe.Tokenizer().encoded(F.col("text"))
-    return docs.select("doc_id", "source", ids.alias("ids")).select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return in_small_batches(docs).select("doc_id", "source", ids.alias("ids")).select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 STAGES = [

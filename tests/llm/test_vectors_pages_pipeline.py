@@ -6,13 +6,16 @@ import base64
 import gzip
 import hashlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import forest, urls, warc
-from tidemark.llm.common import stored
+from tidemark.llm.common import BATCH_BYTES, stored
 
 # ---- nearest neighbours ------------------------------------------------------------------------------
 
@@ -185,3 +188,30 @@ def test_stages_keep_columns_and_decide(spark, tmp_path):
     result = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted((r.doc_id for r in result), key=str) == encoded
     assert all(r.n_tokens == len(r.ids) > 0 for r in result)
+
+
+@pytest.mark.parametrize("stage", ["weak_label_quality", "minhash_dedup", "byte_bpe"])
+def test_stages_hand_texts_to_python_in_small_batches(spark, tmp_path, stage):
+    """The texts of a task never enter Python, and the buffers before it, as one batch; a session's own limit stays."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat(concat('w', id, ' '), 400) AS text", "'en' AS lang", "'s' AS source", "1 AS n_chars")
+
+    @F.arrow_udf("long")
+    def size(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([texts.nbytes] * len(texts))
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    try:
+        spark.conf.unset(limit)
+        dict(corpus_pipeline.STAGES)[stage](spark, docs.limit(5), str(tmp_path))
+        for found in (docs.select(size("text").alias("size")), docs.select("text").mapInArrow(sizes, "size long")):
+            assert 100_000 < max(r["size"] for r in found.distinct().collect()) < 2 * BATCH_BYTES
+        spark.conf.set(limit, "3m")
+        dict(corpus_pipeline.STAGES)[stage](spark, docs.limit(5), str(tmp_path))
+        assert spark.conf.get(limit) == "3m"
+    finally:
+        spark.conf.unset(limit)

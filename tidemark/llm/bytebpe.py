@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import in_small_batches
+
 #: Fixed value: the ranks of the contract.
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LEAF_POINTS, LEAF_IDS, WINDOW = 4096, 4096, 32
@@ -172,10 +174,10 @@ def encode_documents(docs: DataFrame, tokenizer: Tokenizer | None = None) -> Dat
     Null and empty texts have no ids. Rows are encoded one by one, so repeated rows give repeated results.
     """
     ids = (tokenizer or Tokenizer()).encoded(F.col("text"))
-    return docs.select("doc_id", ids.alias("ids")).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return in_small_batches(docs).select("doc_id", ids.alias("ids")).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 def encode_digests(docs: DataFrame, tokenizer: Tokenizer | None = None) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encoded, then decoded again, in one pass without a shuffle."""
     t = tokenizer or Tokenizer()
-    return docs.select("doc_id", t.digests(F.col("text")).alias("d")).select("doc_id", "d.*")
+    return in_small_batches(docs).select("doc_id", t.digests(F.col("text")).alias("d")).select("doc_id", "d.*")

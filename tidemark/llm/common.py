@@ -23,6 +23,24 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows go to Python in Arrow batches of about so many bytes, one row at least.
+BATCH_BYTES = 1 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, of which Python gets whole texts in batches of ``BATCH_BYTES``; a limit that the session names itself stays.
+
+    Spark's own limits, 10,000 rows and 64 MB, let a batch be all texts of a task. An executor then holds the texts of every running
+    task several times outside its heap, as vectors and buffers that double as they fill, and again in the Python worker. The
+    frame runs after this returns, so the session keeps the limit; results do not depend on it.
+    """
+    conf = docs.sparkSession.conf
+    if conf.get(_BATCH, None) is None:
+        conf.set(_BATCH, BATCH_BYTES)
+    return docs
+
+
 #: Bits of a table of marks: so many for each id, and so many in all. With more ids, more rows pass that are not wanted.
 BITS_EACH, MOST_BITS = 64, 1 << 26
 

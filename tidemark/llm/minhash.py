@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import marked, stored
+from tidemark.llm.common import in_small_batches, marked, stored
 from tidemark.llm.components import components
 from tidemark.llm.words import U64, _random, mixed, shingle_sets
 
@@ -97,7 +97,7 @@ def signed(docs: DataFrame) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, class binary, n_shingles bigint, orders binary, sketch binary")
+    return in_small_batches(docs).select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, class binary, n_shingles bigint, orders binary, sketch binary")
 
 
 def _fixed(column: pa.Array, dtype: str, width: int) -> np.ndarray:

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import in_small_batches
 from tidemark.llm.minhash import slices
 from tidemark.llm.words import IS_SPACE, U64, buffers, word_hashes
 
@@ -182,6 +183,7 @@ def fit(docs: DataFrame) -> Model:
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["pattern", "n"])
 
+    docs = in_small_batches(docs)
     found = docs.select("text").mapInArrow(count, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
     counts = {r["pattern"]: r["n"] for r in found}
     posterior, accuracy = estimate(counts)
