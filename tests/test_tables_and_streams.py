@@ -14,7 +14,7 @@ import pytest
 from conftest import day, rows
 from pyspark.sql import functions as F
 
-from tidemark.plans import gate, gold, silver
+from tidemark.plans import feeds, gate, gold, silver
 from tidemark.plans.retail import BY_NAME, CLICKSTREAM, CUSTOMERS, INVENTORY, ORDER_ITEMS, ORDERS
 from tidemark.sources.envelope import decode_envelope
 from tidemark.sources.landing import by_header, landing_files, read_landing
@@ -469,3 +469,39 @@ def test_gold_of_touched_months_equals_a_full_build(spark, tables, tmp_path):
     assert after != before and tables.read("gold_fact_order_items").where("fact_month = 202606").count() == 0
     gold.build_gold(tables, full=True)
     assert gold_rows(tables) == after
+
+
+def files_of(folder):
+    return sorted(p.name for p in Path(folder).rglob("part-*"))
+
+
+def test_tables_are_written_small_unless_the_session_names_a_codec(spark, tables, tmp_path):
+    frame = spark.range(10).selectExpr("CAST(id AS STRING) AS k")
+
+    def write_all(name):
+        tables.write(frame, f"{name}_whole")
+        tables.write_log(frame, f"{name}_log", 1, ["k"])
+        tables.publish(frame, f"{name}_kept", ["k"])
+        return [f for f in files_of(tmp_path / "lake") if f.endswith(".parquet")]
+
+    names = write_all("a")
+    assert names and all(n.endswith(".zstd.parquet") for n in names)
+    spark.conf.set("spark.sql.parquet.compression.codec", "gzip")
+    try:
+        assert all(n.endswith(".gz.parquet") for n in set(write_all("b")) - set(names))
+    finally:
+        spark.conf.unset("spark.sql.parquet.compression.codec")
+
+
+def test_given_tables_are_read_by_small_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feeds, "SPLIT", "1m")
+    spark.range(1_000_000, numPartitions=1).write.option("compression", "none").option("parquet.block.size", 1 << 20).parquet(str(tmp_path / "orders.parquet"))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    try:
+        found = feeds.table(spark, str(tmp_path), "orders")
+        assert found.rdd.getNumPartitions() >= 4 and found.count() == 1_000_000
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "256m")  # a size that the session names itself stays
+        feeds.table(spark, str(tmp_path), "orders")
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "256m"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
