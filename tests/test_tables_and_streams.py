@@ -9,12 +9,13 @@ import os
 import time
 from pathlib import Path
 from threading import Barrier
+from types import SimpleNamespace
 
 import pytest
 from conftest import day, rows
 from pyspark.sql import functions as F
 
-from tidemark.plans import feeds, gate, gold, silver
+from tidemark.plans import feeds, gate, gold, silver, streamed
 from tidemark.plans.retail import BY_NAME, CLICKSTREAM, CUSTOMERS, INVENTORY, ORDER_ITEMS, ORDERS
 from tidemark.sources.envelope import decode_envelope
 from tidemark.sources.landing import by_header, landing_files, read_landing
@@ -505,3 +506,18 @@ def test_given_tables_are_read_by_small_tasks(spark, tmp_path, monkeypatch):
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "256m"
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("entity", [ORDERS, ORDER_ITEMS])
+def test_feeds_land_compressed_and_are_taken_whole(spark, tables, tmp_path, monkeypatch, entity):
+    monkeypatch.setattr(streamed, "ROWS_PER_FILE", 40)
+    site = SimpleNamespace(landing=str(tmp_path / "landing"), tables=tables)
+    sent = spark.range(100).coalesce(1).selectExpr("concat(' O', id, ' ') AS order_id", "CAST(id AS STRING) AS lsn")
+    streamed.Site.land(site, entity, sent, "all")
+    names = files_of(tmp_path / "landing")
+    assert len(names) == 3 and all(n.endswith(f".{entity.fmt}.gz") for n in names)
+    put(tmp_path / "landing" / entity.feed, f"plain.{entity.fmt}", "order_id,lsn\n O100 ,100\n" if entity.fmt == "csv" else '{"order_id": " O100 ", "lsn": "100"}\n')
+    assert len(landing_files(spark, f"{site.landing}/{entity.feed}", entity.fmt)) == 4
+    assert [(r["files"], r["rows"]) for r in take(tables, site.landing, entity)] == [(4, 101)]
+    assert rows(tables.bronze(entity.feed), "order_id", "lsn") == sorted([(f" O{n} ", str(n)) for n in range(101)], key=repr)
+    assert take(tables, site.landing, entity) == []
