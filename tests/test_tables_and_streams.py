@@ -15,7 +15,7 @@ import pytest
 from conftest import day, rows
 from pyspark.sql import functions as F
 
-from tidemark.plans import feeds, gate, gold, silver, streamed
+from tidemark.plans import catalog, feeds, gate, gold, silver, streamed
 from tidemark.plans.retail import BY_NAME, CLICKSTREAM, CUSTOMERS, INVENTORY, ORDER_ITEMS, ORDERS
 from tidemark.sources.envelope import decode_envelope
 from tidemark.sources.landing import by_header, landing_files, read_landing
@@ -24,7 +24,7 @@ from tidemark.sources.tables import BUCKET, Tables, run_folder, shared_folder
 from tidemark.streaming import entities
 from tidemark.streaming.clicks import LateRows, start_unique_events, unique_events
 from tidemark.streaming.ingest import ingest_files, ingested_files, start_ingest
-from tidemark.streaming.run import run_gate, run_once
+from tidemark.streaming.run import run_gate, run_once, save_results
 
 
 def put(folder, name, text):
@@ -521,3 +521,11 @@ def test_feeds_land_compressed_and_are_taken_whole(spark, tables, tmp_path, monk
     assert [(r["files"], r["rows"]) for r in take(tables, site.landing, entity)] == [(4, 101)]
     assert rows(tables.bronze(entity.feed), "order_id", "lsn") == sorted([(f" O{n} ", str(n)) for n in range(101)], key=repr)
     assert take(tables, site.landing, entity) == []
+
+
+def test_a_check_saved_twice_is_made_once(spark, monkeypatch):
+    saved = []
+    monkeypatch.setattr(catalog, "gate_checks", lambda lake: spark.range(1).selectExpr("'c' AS check_name", "rand() AS value", "0D AS threshold", "true AS passed", "'' AS detail"))
+    monkeypatch.setattr(catalog, "save_results", lambda tables, results, at: saved.append(results.first().value) or save_results(tables, results, at))
+    found = catalog.gate_saved(SimpleNamespace(spark=spark))
+    assert saved[0] == saved[1] == found.first().value and found.count() == 1

@@ -19,6 +19,7 @@ from tidemark.plans import gate, reports, star
 from tidemark.plans.lake import Lake
 from tidemark.plans.retail import BY_NAME, ENTITIES
 from tidemark.plans.streamed import STREAMED, Site
+from tidemark.sources.tables import stored
 from tidemark.streaming.run import RESULTS, save_results
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -259,7 +260,7 @@ def gate_checks(lake: Lake) -> DataFrame:
 
 def gate_saved(lake: Lake) -> DataFrame:
     """Two checks saved under their run numbers, a day apart; the newest as the dashboard shows it."""
-    site, results = Site(lake, "gate"), gate_checks(lake)
+    site, results = Site(lake, "gate"), stored(gate_checks(lake), "gate-results")
     for now in ("2001-08-04 12:00:00", NOW):
         save_results(site.tables, results, F.lit(now).cast("timestamp_ntz"))
     return reports.serve_latest_checks(site.tables.read(RESULTS))
